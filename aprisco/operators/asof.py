@@ -115,13 +115,13 @@ def asof_version_join(
         )
         .where(F.col("is_probe") & F.col("oldest").isNotNull())
         .select(
-            "k", "day",
+            F.col("k").alias("__key"), F.col("day").alias("__asked"),
             F.when(valid, 1).otherwise(2).alias("__priority"),
             F.when(valid, F.col("at")).otherwise(F.col("oldest")).alias("__v"),
         )
     )
     joined = facts.join(
-        answer, (facts[key] == answer["k"]) & (asked == answer["day"]), "left"
+        answer, (F.col(key) == F.col("__key")) & (asked == F.col("__asked")), "left"
     )
     if not unique_facts:
         best = Window.partitionBy(fact_id).orderBy(
@@ -129,6 +129,6 @@ def asof_version_join(
         )
         joined = joined.withColumn("__rn", F.row_number().over(best)).where("__rn = 1")
     return joined.select(
-        *[facts[c] for c in facts.columns],
+        *facts.columns,
         *[F.col(f"__v.attrs.{name}").alias(name) for name in attrs.values()],
     )
