@@ -20,13 +20,14 @@ def _list(spark: SparkSession, path: str) -> list[int]:
     numbers = []
     for status in fs.listStatus(base):
         name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            numbers.append(int(name[2:]))
+        finished = fs.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
+        if name.startswith("table_version=") and finished:
+            numbers.append(int(name.split("=")[1]))
     return sorted(numbers)
 
 
 def version_path(path: str, number: int) -> str:
-    return f"{path}/v={number:08d}"
+    return f"{path}/table_version={number:08d}"
 
 
 def complete_versions(spark: SparkSession, path: str) -> list[str]:

@@ -1,0 +1,208 @@
+from __future__ import annotations
+
+from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+
+from aprisco.plans import MODELS, BuildFailed, Warehouse, build, present
+from aprisco.plans.suite import SUITE
+from aprisco.sources import RawZone, read_history
+from aprisco.sources.schemas import RAW_TABLES
+from tests.farm import FARM, NOW, fact, farm_rows, item, raw_zone
+
+DAY = date(2026, 3, 15)
+
+
+def test_inventory():
+    assert Counter(m.layer for m in MODELS.values()) == {
+        "staging": 20, "snapshots": 3, "intermediate": 1, "marts": 21, "reporting": 10,
+    }
+    assert Counter(t.is_fact for t in RAW_TABLES) == {False: 14, True: 12}
+    assert sum(t.ddl is None for t in RAW_TABLES) == 6
+    counts = {layer: Counter(c.kind for c in rules()) for layer, rules in SUITE.items()}
+    assert counts == {
+        "staging": {"unique": 21, "not_null": 72, "accepted_values": 9, "relationships": 25},
+        "marts": {"unique": 22, "not_null": 67, "accepted_values": 8, "relationships": 29},
+        "reporting": {"not_null": 15},
+    }
+    ids = [c.id for rules in SUITE.values() for c in rules()]
+    assert len(ids) == len(set(ids))
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    """Two refreshes; before the second, a supply changed and an animal moved."""
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    content = farm_rows()
+    zone = raw_zone(spark, content)
+    first = build(spark, zone, root, datetime(2026, 3, 17), live=zone, now=datetime(2026, 3, 17, 12))
+    content["catalogo_insumos"][0] |= {"categoria": "Suplemento", "existencia_actual": Decimal(6)}
+    content["animales"][0] |= {"lote": "L9", "arete": "99"}
+    content["movimientos_insumos"].append(
+        fact("mv4", id_insumo="i1", tipo_movimiento="merma", fecha_movimiento=date(2026, 3, 19),
+             cantidad_base=Decimal(-1))
+    )
+    zone = raw_zone(spark, content)
+    second = build(spark, zone, root, datetime(2026, 3, 18, 6), live=zone, now=NOW, granularity="month")
+    return root, first, second
+
+
+def test_all_checks_pass(built):
+    _, first, second = built
+    for run in (first, second):
+        kinds = Counter(v.check_id.split("_")[0] for v in run.verdicts)
+        assert kinds["freshness"] == 26 + 26  # load age, and drift of the load gaps
+        assert kinds["volume"] == kinds["all"] == 26
+        assert len(run.verdicts) == 127 + 126 + 15 + 1 + 1 + 26 + 78
+        assert [v for v in run.verdicts if v.status == "fail"] == []
+
+
+def test_history_and_category_at_the_time(built, rows):
+    _, _, second = built
+    w = second.warehouse
+    assert rows(w["dim_insumo"], "id_insumo", "categoria", "vigente") == [
+        ("i1", "Concentrado", False), ("i1", "Suplemento", True), ("i2", "Sal", True),
+    ]
+    report = w["rpt_movimientos_insumo_recientes"]
+    assert rows(report, "fecha_movimiento", "categoria", "cantidad_base", "nombre_finca") == [
+        (date(2026, 3, 15), "Concentrado", Decimal(10), FARM),  # before all history
+        (date(2026, 3, 18), "Concentrado", Decimal(-3), FARM),  # the change came at six
+        (date(2026, 3, 19), "Suplemento", Decimal(-1), FARM),
+    ]
+
+
+def test_reports(built, rows):
+    _, _, second = built
+    w = second.warehouse
+    assert rows(w["rpt_animales_activos"], "id_animal", "lote", "arete") == [
+        ("a1", "L9", "99"), ("a2", "L1", None),
+    ]
+    assert rows(w["rpt_pesaje_resumen_diario"]) == sorted(
+        [(FARM, DAY, "1", Decimal(13), 2), (FARM, DAY, None, Decimal(3), 2)], key=repr
+    )
+    quality = w["rpt_calidad_leche_reciente"]
+    assert rows(quality, "fecha_muestra", "microbiologia_muestra", "composicion_grasa") == sorted(
+        [
+            (DAY, Decimal(10), Decimal("3.9")), (DAY, Decimal(20), Decimal("3.9")),
+            (date(2026, 3, 16), None, Decimal("4.1")), (date(2026, 3, 17), Decimal(30), None),
+        ],
+        key=repr,
+    )
+    assert rows(w["rpt_palpamientos_recientes"], "resultado") == [("Preñada",), ("Vacía Anestro",)]
+    assert rows(w["rpt_nacimientos_recientes"], "arete_madre", "dia_semana_nombre", "estacion") == [
+        ("1", "Domingo", "Seca")
+    ]
+    assert rows(w["rpt_transacciones_financieras_recientes"], "monto_total") == [(Decimal("3.1"),)]
+    assert w["rpt_salidas_recientes"].count() == w["rpt_tratamientos_recientes"].count() == 1
+    assert w["rpt_entregas_leche_recientes"].count() == 1
+
+
+def test_metadata(spark, built):
+    root, _, _ = built
+    verdicts = spark.read.parquet(f"{root}/metadata/verdicts/marts")
+    assert verdicts.groupBy("run_ts").count().select("count").distinct().first()[0] == 127
+    ages = spark.read.parquet(f"{root}/metadata/freshness")
+    assert ages.where("tabla = 'tb_dim_roles'").select("status").distinct().first()[0] == "not_computable"
+    scores = spark.read.parquet(f"{root}/metadata/anomaly_scores")
+    assert {r[0] for r in scores.select("veredicto").distinct().collect()} == {"insufficient_history"}
+    assert spark.read.parquet(f"{root}/metadata/column_metrics").select("run_ts").distinct().count() == 2
+
+
+def test_order_of_a_report(spark, built):
+    _, _, second = built
+    w = second.warehouse
+    moves = present(w["rpt_movimientos_insumo_recientes"], "rpt_movimientos_insumo_recientes")
+    assert [r[0].day for r in moves.select("fecha_movimiento").collect()] == [19, 18, 15]
+    animals = present(w["rpt_animales_activos"], "rpt_animales_activos")
+    assert [r[0] for r in animals.select("arete").collect()] == [None, "99"]
+    assert present(w["dim_finca"], "dim_finca") is w["dim_finca"]
+
+
+def _broken(**changes):
+    content = farm_rows()
+    for name, extra in changes.items():
+        content[name] = content[name] + extra
+    return content
+
+
+@pytest.mark.parametrize(
+    ("changes", "layer", "check_id"),
+    [
+        ({"partos": [fact("p1", fecha_parto=DAY, id_madre="a1")]}, "staging",
+         "unique_stg_partos__id_registro"),
+        ({"partos": [fact("p9", fecha_parto=DAY, id_madre="nobody")]}, "staging",
+         "relationships_stg_partos__id_madre__tb_dim_animales_id_animal"),
+        # The mother exists in the raw table, but on a test farm: only the mart notices.
+        ({"partos": [fact("p9", fecha_parto=DAY, id_madre="ax")]}, "marts",
+         "relationships_fct_parto__id_madre__dim_animal_id_animal"),
+        ({"salidas": [fact("s9", fecha_salida=date(2019, 1, 1), id_animal="a1", motivo="x")]},
+         "marts", "relationships_fct_salida__fecha_salida__dim_fecha_fecha"),
+        ({"movimientos_insumos": [
+            fact("mv9", id_insumo="i2", tipo_movimiento="compra", fecha_movimiento=DAY,
+                 cantidad_base=Decimal(1))]},
+         "marts", "exactitud_existencia_insumo_vs_ledger"),
+        ({"palpamientos": [
+            fact("q9", fecha_palpamiento=DAY, id_animal="a1", resultado="PREÑADA")]},
+         "staging", "accepted_values_stg_palpamientos__resultado"),
+    ],
+)
+def test_a_broken_layer_stops_the_build(spark, tmp_path, changes, layer, check_id):
+    with pytest.raises(BuildFailed) as failed:
+        build(spark, raw_zone(spark, _broken(**changes)), str(tmp_path), NOW, store_all_failures=True)
+    assert [v.check_id for v in failed.value.verdicts if v.status == "fail"] == [check_id]
+    kept = spark.read.parquet(f"{tmp_path}/metadata/verdicts/{layer}")
+    assert kept.where(f"check_id = '{check_id}' and status = 'fail'").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/metadata/failures/{check_id}").count() >= 1
+    assert (read_history(spark, f"{tmp_path}/history/snapshot_insumo") is None) == (layer == "staging")
+
+
+def test_lost_rows_of_the_replica_stop_the_build(spark, tmp_path):
+    live = farm_rows()
+    replica = farm_rows()
+    replica["pesaje_leche"] = replica["pesaje_leche"][:-1]
+    with pytest.raises(BuildFailed, match="conteo_raw_vs_operacional: 1"):
+        build(spark, raw_zone(spark, replica), str(tmp_path), NOW, live=raw_zone(spark, live))
+
+
+def test_old_sources_and_anomalies_only_warn(spark, tmp_path):
+    content = farm_rows()
+    for days in range(1, 15):
+        content["catalogo_lotes"].append(
+            item("id_item", f"old{days}", fecha_creacion=date(2026, 3, days))
+        )
+    content["catalogo_lotes"] += [
+        item("id_item", f"new{i}", fecha_creacion=date(2026, 3, 20)) for i in range(50)
+    ]
+    for row in content["partos"]:
+        row["timestamp_registro"] = datetime(2026, 1, 1)
+    run = build(spark, raw_zone(spark, content), str(tmp_path), NOW, now=NOW, domains=["hato"])
+    status = {v.check_id: v.status for v in run.verdicts}
+    assert status["freshness_tb_fact_partos"] == "warn"
+    assert status["freshness_tb_fact_salidas"] == "pass"
+    assert status["volume_anomalies_tb_dim_catalogo_lotes"] == "warn"
+    assert status["volume_anomalies_tb_fact_partos"] == "pass"
+
+
+def test_one_domain(spark, tmp_path):
+    run = build(spark, raw_zone(spark, farm_rows()), str(tmp_path), NOW, domains=["leche"])
+    tables = {p.name for p in (tmp_path / "marts").iterdir()}
+    assert tables == {
+        "dim_fecha", "dim_finca", "fct_venta_leche", "fct_microbiologia_leche",
+        "fct_composicion_leche",
+    }
+    assert all(v.status == "pass" for v in run.verdicts)
+    assert not (tmp_path / "history").exists()
+
+
+def test_reports_over_raw_tables_without_a_build(spark, rows):
+    """A report is one lazy plan down to the raw tables."""
+    w = Warehouse(spark, raw_zone(spark, farm_rows()), NOW)
+    assert rows(w["rpt_movimientos_insumo_recientes"], "categoria") == [("Concentrado",)] * 2
+
+
+def test_raw_files(spark, tmp_path, rows):
+    zone = raw_zone(spark, farm_rows())
+    zone.table("fincas").write.parquet(f"{tmp_path}/tb_dim_fincas.parquet")
+    assert RawZone.from_files(spark, str(tmp_path)).table("fincas").count() == 2
