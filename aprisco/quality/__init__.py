@@ -1,5 +1,6 @@
 from aprisco.quality.anomaly import (
     column_metrics,
+    daily_loads,
     freshness_metrics,
     score_anomalies,
     volume_metrics,
@@ -8,6 +9,7 @@ from aprisco.quality.checks import (
     accepted_values,
     count_reconciliation,
     freshness,
+    judge_freshness,
     ledger_reconciliation,
     not_null,
     not_null_within,
@@ -23,8 +25,10 @@ __all__ = [
     "accepted_values",
     "column_metrics",
     "count_reconciliation",
+    "daily_loads",
     "freshness",
     "freshness_metrics",
+    "judge_freshness",
     "ledger_reconciliation",
     "not_null",
     "not_null_within",

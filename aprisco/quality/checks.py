@@ -121,6 +121,23 @@ def ledger_reconciliation(
     )
 
 
+def judge_freshness(newest: DataFrame, now: datetime) -> DataFrame:
+    """Age of ``max_loaded_at`` of each ``tabla`` against its ``warn_days`` and ``error_days``."""
+    at = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+    older_than = lambda days: (
+        F.col("max_loaded_at") + F.make_dt_interval(days=F.col(days)) < at
+    )
+    return newest.select(
+        "tabla",
+        "max_loaded_at",
+        F.when(F.col("max_loaded_at").isNull(), "not_computable")
+        .when(older_than("error_days"), "error")
+        .when(older_than("warn_days"), "warn")
+        .otherwise("pass")
+        .alias("status"),
+    )
+
+
 def freshness(
     sources: Mapping[str, tuple[DataFrame, str, tuple[int, int]]], now: datetime
 ) -> DataFrame:
@@ -136,16 +153,4 @@ def freshness(
         )
         for table, (df, stamp, (warn, error)) in sources.items()
     ]
-    at = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
-    older_than = lambda days: (
-        F.col("max_loaded_at") + F.make_dt_interval(days=F.col(days)) < at
-    )
-    return reduce(DataFrame.union, newest).select(
-        "tabla",
-        "max_loaded_at",
-        F.when(F.col("max_loaded_at").isNull(), "not_computable")
-        .when(older_than("error_days"), "error")
-        .when(older_than("warn_days"), "warn")
-        .otherwise("pass")
-        .alias("status"),
-    )
+    return judge_freshness(reduce(DataFrame.union, newest), now)

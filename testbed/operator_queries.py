@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from aprisco.quality import (
     accepted_values,
     column_metrics,
     count_reconciliation,
+    daily_loads,
     freshness,
     freshness_metrics,
     ledger_reconciliation,
@@ -598,8 +600,8 @@ VOLUMES = (("events", "ts"), ("lineitem", "l_shipdate"), ("orders", "o_orderdate
     ) + ")"
 ))
 def volume_anomaly(spark, sf_dir):
-    series = [volume_metrics(read(spark, sf_dir, t), t, ts) for t, ts in VOLUMES]
-    return score_anomalies(series[0].unionByName(series[1]).unionByName(series[2]))
+    loads = [daily_loads(read(spark, sf_dir, t), t, ts) for t, ts in VOLUMES]
+    return score_anomalies(volume_metrics(reduce(DataFrame.union, loads)))
 
 
 @query(_scored("""l AS (SELECT CAST(ts AS DATE) AS bucket, max(ts) AS t FROM events
@@ -610,7 +612,7 @@ series AS (SELECT 'events' AS tabla, 'seconds_since_previous_load' AS metrica,
 """))
 def freshness_anomaly(spark, sf_dir):
     loads = read(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "signup"))
-    return score_anomalies(freshness_metrics(loads, "events", "ts"))
+    return score_anomalies(freshness_metrics(daily_loads(loads, "events", "ts")))
 
 
 PROFILED = {

@@ -13,6 +13,7 @@ def spark():
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": "/tmp/aprisco-warehouse",
         },

@@ -8,8 +8,8 @@ import pytest
 
 from aprisco.plans import MODELS, BuildFailed, Warehouse, build, present
 from aprisco.plans.suite import SUITE
-from aprisco.sources import RawZone, read_history
-from aprisco.sources.schemas import RAW_TABLES
+from aprisco.sources import RawZone
+from aprisco.sources.schemas import RAW_TABLES, raw_table
 from tests.farm import FARM, NOW, fact, farm_rows, item, raw_zone
 
 DAY = date(2026, 3, 15)
@@ -99,14 +99,18 @@ def test_reports(built, rows):
     assert w["rpt_entregas_leche_recientes"].count() == 1
 
 
-def test_metadata(spark, built):
+def test_metadata(spark, built, rows):
     root, _, _ = built
     verdicts = spark.read.parquet(f"{root}/metadata/verdicts/marts")
     assert verdicts.groupBy("run_ts").count().select("count").distinct().first()[0] == 127
     ages = spark.read.parquet(f"{root}/metadata/freshness")
     assert ages.where("tabla = 'tb_dim_roles'").select("status").distinct().first()[0] == "not_computable"
     scores = spark.read.parquet(f"{root}/metadata/anomaly_scores")
-    assert {r[0] for r in scores.select("veredicto").distinct().collect()} == {"insufficient_history"}
+    assert scores.where("metrica = 'null_count'").select("veredicto").distinct().collect() == [
+        ("insufficient_history",)
+    ]
+    loads = spark.read.parquet(f"{root}/metadata/daily_loads").where("tabla = 'tb_dim_fincas'")
+    assert rows(loads, "day", "n") == [(date(2026, 3, 10), 2)] * 2
     assert spark.read.parquet(f"{root}/metadata/column_metrics").select("run_ts").distinct().count() == 2
 
 
@@ -150,12 +154,16 @@ def _broken(**changes):
 )
 def test_a_broken_layer_stops_the_build(spark, tmp_path, changes, layer, check_id):
     with pytest.raises(BuildFailed) as failed:
-        build(spark, raw_zone(spark, _broken(**changes)), str(tmp_path), NOW, store_all_failures=True)
+        build(
+            spark, raw_zone(spark, _broken(**changes)), str(tmp_path), NOW,
+            domains=[raw_table(name).domain for name in changes], store_all_failures=True,
+        )
     assert [v.check_id for v in failed.value.verdicts if v.status == "fail"] == [check_id]
     kept = spark.read.parquet(f"{tmp_path}/metadata/verdicts/{layer}")
     assert kept.where(f"check_id = '{check_id}' and status = 'fail'").count() == 1
     assert spark.read.parquet(f"{tmp_path}/metadata/failures/{check_id}").count() >= 1
-    assert (read_history(spark, f"{tmp_path}/history/snapshot_insumo") is None) == (layer == "staging")
+    assert (tmp_path / "history").exists() == (layer == "marts")
+    assert not (tmp_path / "metadata" / "verdicts" / "reporting").exists()
 
 
 def test_lost_rows_of_the_replica_stop_the_build(spark, tmp_path):
@@ -163,7 +171,10 @@ def test_lost_rows_of_the_replica_stop_the_build(spark, tmp_path):
     replica = farm_rows()
     replica["pesaje_leche"] = replica["pesaje_leche"][:-1]
     with pytest.raises(BuildFailed, match="conteo_raw_vs_operacional: 1"):
-        build(spark, raw_zone(spark, replica), str(tmp_path), NOW, live=raw_zone(spark, live))
+        build(
+            spark, raw_zone(spark, replica), str(tmp_path), NOW, live=raw_zone(spark, live),
+            domains=["veterinaria"],
+        )
 
 
 def test_old_sources_and_anomalies_only_warn(spark, tmp_path):
