@@ -40,20 +40,29 @@ def join_calendar(
     return star_join(fact, calendar, fact_date, "fecha", columns)
 
 
-def full_outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def full_outer_merge(
+    left: DataFrame, right: DataFrame, on: Sequence[str], one_row_per_key: bool = False
+) -> DataFrame:
     """Full outer join of two facts with the key columns coalesced.
 
-    Spark cannot split a hot key of a full outer join, so the merge is put together from an
-    inner join, whose both sides can be split, and the unmatched rows of either side, found
-    against the distinct keys of the other. Rows with a NULL key match nothing and skip the
-    shuffle. Each side is shuffled once: the three joins reuse the same exchange.
+    Sides that are aggregated to ``one_row_per_key`` have no hot key and are joined directly.
+
+    Otherwise a key may hold much of a side, and Spark cannot split a key of a full outer
+    join. The merge is then put together from an inner join, whose both sides can be split,
+    and the unmatched rows of either side, found against the distinct keys of the other. Rows
+    with a NULL key match nothing and skip the shuffle. The joins share the exchange of each
+    side, but the sides should be stored relations, not long computations.
     """
     on = list(on)
+    if one_row_per_key:
+        return left.join(right, on, "full")
     no_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-    parts = []
-    sides = [left.where(no_null), right.where(no_null)]
-    parts.append(sides[0].join(sides[1], on, "inner"))
-    parts.append(sides[0].join(sides[1].select(on).distinct(), on, "left_anti"))
-    parts.append(sides[1].join(sides[0].select(on).distinct(), on, "left_anti"))
-    parts += [left.where(~no_null), right.where(~no_null)]
+    keyed_left, keyed_right = left.where(no_null), right.where(no_null)
+    parts = [
+        keyed_left.join(keyed_right, on, "inner"),
+        keyed_left.join(keyed_right.select(on).distinct(), on, "left_anti"),
+        keyed_right.join(keyed_left.select(on).distinct(), on, "left_anti"),
+        left.where(~no_null),
+        right.where(~no_null),
+    ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

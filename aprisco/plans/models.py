@@ -88,6 +88,8 @@ class Warehouse:
     spark: SparkSession
     raw: RawZone
     run_ts: datetime
+    # Set once the checks have shown that no movement id repeats, which saves a shuffle.
+    unique_movements: bool = False
     stored: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -160,6 +162,7 @@ def _movements_with_supply(w: Warehouse) -> DataFrame:
         fact_id="id_registro",
         attrs=SUPPLY_AT_THE_TIME,
         version_id=SCD_ID if SCD_ID in versions.columns else None,
+        unique_facts=w.unique_movements,
     )
 
 

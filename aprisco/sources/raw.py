@@ -56,11 +56,12 @@ class RawZone:
     """The raw tables under a directory, in a catalog database, or given by a function.
 
     Models read the replica; a second zone over the live copy serves count reconciliation
-    only.
+    only. A table is resolved once, so all readers of a zone see the same version of it.
     """
 
     def __init__(self, load: Callable[[str], DataFrame]):
         self._load = load
+        self._tables: dict[str, DataFrame] = {}
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str) -> RawZone:
@@ -80,7 +81,10 @@ class RawZone:
 
     def table(self, name: str) -> DataFrame:
         """Raw table by short or full name, held to its declared schema."""
-        return check_schema(self._load(raw_table(name).table), name)
+        table = raw_table(name).table
+        if table not in self._tables:
+            self._tables[table] = check_schema(self._load(table), name)
+        return self._tables[table]
 
 
 class LoadFailed(RuntimeError):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aprisco.operators import check_snapshot
-from aprisco.plans.models import MODELS, SNAPSHOTS, Warehouse
+from aprisco.plans.models import MODELS, SNAPSHOTS, Warehouse, present
 from aprisco.plans.suite import mart_checks, report_checks, staging_checks
 from aprisco.quality import Check, ledger_reconciliation
 from aprisco.quality.runner import count_failures
@@ -59,6 +59,17 @@ def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: warehouse(spark, sf_dir)[name]
 
 
+# Reports in their reading order: newest day first, and by ear tag.
+PRESENTED = {
+    "presented_newest_first": "rpt_nacimientos_recientes",
+    "presented_by_tag": "rpt_animales_activos",
+}
+
+
+def _presented(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: present(warehouse(spark, sf_dir)[name], name)
+
+
 def _supply_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = warehouse(spark, sf_dir)
     return ledger_reconciliation(
@@ -90,6 +101,7 @@ SUITES = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         **{name: _model(name) for name in REGISTERED},
+        **{name: _presented(report) for name, report in PRESENTED.items()},
         "exactitud_existencia_insumo_vs_ledger": _supply_ledger,
         **{name: _suite(rules) for name, rules in SUITES.items()},
     }
@@ -349,6 +361,7 @@ def oracle_sql() -> dict[str, str]:
     relations = _relations()
     names = [*REGISTERED, "exactitud_existencia_insumo_vs_ledger"]
     sql = {n: with_relations(relations[n], {k: v for k, v in relations.items() if k != n}) for n in names}
+    sql.update({name: sql[report] for name, report in PRESENTED.items()})
     for name, rules in SUITES.items():
         union = " UNION ALL ".join(_rule_sql(r) for r in rules())
         sql[name] = with_relations(union, relations)

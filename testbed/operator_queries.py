@@ -188,7 +188,9 @@ def quality_merge(spark, sf_dir):
             F.count(F.lit(1)).alias(f"n_{kind}s"), F.sum(money("value", 4)).alias(f"{kind}_value")
         )
 
-    rows = full_outer_merge(daily("view"), daily("click"), ["user_id", "event_day"])
+    rows = full_outer_merge(
+        daily("view"), daily("click"), ["user_id", "event_day"], one_row_per_key=True
+    )
     return star_join(rows, read(spark, sf_dir, "customer"), "user_id", "c_custkey", ["c_name"])
 
 

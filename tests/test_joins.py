@@ -46,6 +46,13 @@ def test_full_outer_merge_equals_a_full_join(spark, rows):
         assert rows(merged, "a", "b", "l", "r") == rows(expected, "a", "b", "l", "r")
 
 
+def test_merge_of_unique_keys(spark, rows):
+    left, right = (side.dropDuplicates(["a", "b"]) for side in _sides(spark, 5))
+    merged = full_outer_merge(left, right, ["a", "b"], one_row_per_key=True)
+    assert merged.columns == full_outer_merge(left, right, ["a", "b"]).columns
+    assert rows(merged, "a", "b") == rows(full_outer_merge(left, right, ["a", "b"]), "a", "b")
+
+
 def test_merge_of_one_empty_side(spark, rows):
     left, right = _sides(spark, 0)
     for a, b in ((left, right.limit(0)), (left.limit(0), right)):
