@@ -19,6 +19,7 @@ from aprisco.sources import (
     write_table,
 )
 from aprisco.sources.raw import LoadFailed, SchemaDrift, check_schema
+from aprisco.sources.shared import cut_lineage, shared_folder
 from aprisco.sources.versions import complete_versions
 from tests.farm import farm_rows, frame, raw_zone
 
@@ -209,6 +210,14 @@ def test_schema_drift(spark):
     assert dict(check_schema(stamped, "partos").dtypes)["timestamp_registro"] == "timestamp_ntz"
 
 
+def test_lineage_is_cut_in_the_shared_folder(spark, rows):
+    kept = cut_lineage(spark.range(3).withColumn("x", F.lit("a")))
+    folder = shared_folder(spark)
+    assert folder == shared_folder(spark)
+    assert rows(kept) == [(0, "a"), (1, "a"), (2, "a")]
+    assert all(f"{folder.removeprefix('file:')}/aprisco/" in f for f in kept.inputFiles())
+
+
 def test_raw_from_a_database(spark):
     frame(spark, "roles", [{"fecha_creacion": JAN}]).createOrReplaceTempView("tb_dim_roles")
     zone = RawZone(lambda table: spark.table(table))
