@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,16 @@ from pyspark.sql import functions as F
 from aprisco.operators import check_snapshot
 from aprisco.plans.models import MODELS, SNAPSHOTS, Warehouse, present
 from aprisco.plans.suite import mart_checks, report_checks, staging_checks
-from aprisco.quality import Check, ledger_reconciliation
+from aprisco.quality import (
+    Check,
+    column_metrics,
+    count_reconciliation,
+    daily_loads,
+    freshness,
+    ledger_reconciliation,
+    score_anomalies,
+    volume_metrics,
+)
 from aprisco.quality.runner import count_failures
 from aprisco.sources.schemas import raw_table
 from aprisco.sources.shared import cut_lineage
@@ -96,6 +106,57 @@ def _suite(
     return run
 
 
+# --- checks of the raw tables ---------------------------------------------------------------
+
+RAW_NOW = datetime(2024, 2, 5)
+WATCHED = [raw_table(name) for name in raw_sql()]
+PROFILED = raw_table("movimientos_insumos")
+
+
+def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zone = raw_zone(spark, sf_dir)
+    return reduce(
+        DataFrame.union,
+        [daily_loads(zone.table(t.name), t.table, t.loaded_at) for t in WATCHED],
+    )
+
+
+def _raw_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zone = raw_zone(spark, sf_dir)
+    return freshness(
+        {t.table: (zone.table(t.name), t.loaded_at, t.freshness_days) for t in WATCHED}, RAW_NOW
+    )
+
+
+def _raw_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica that lost the void rows of every fact."""
+    live = raw_zone(spark, sf_dir)
+    replica = {
+        t.table: live.table(t.name).where("estado_registro <> 'Anulado'")
+        if t.is_fact
+        else live.table(t.name)
+        for t in WATCHED
+    }
+    return count_reconciliation({t.table: (replica[t.table], live.table(t.name)) for t in WATCHED})
+
+
+def _raw_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_anomalies(volume_metrics(_loads(spark, sf_dir), until=RAW_NOW.date()))
+
+
+def _raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = raw_zone(spark, sf_dir).table(PROFILED.name)
+    return column_metrics(rows, PROFILED.table, run_date=RAW_NOW.date(), exact=True)
+
+
+RAW_CHECKS = {
+    "raw_freshness": _raw_freshness,
+    "raw_reconciliation": _raw_reconciliation,
+    "raw_volume_anomalies": _raw_volume,
+    "raw_column_profile": _raw_profile,
+}
+
+
 def _on_tables(rules: Callable[[], list[Check]]) -> Callable[[], list[Check]]:
     return lambda: [r for r in rules() if r.table != "dim_fecha"]
 
@@ -112,6 +173,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{name: _model(name) for name in REGISTERED},
         **{name: _presented(report) for name, report in PRESENTED.items()},
         "exactitud_existencia_insumo_vs_ledger": _supply_ledger,
+        **RAW_CHECKS,
         "suite_staging": _suite(SUITES["suite_staging"]),
         "suite_marts": _suite(SUITES["suite_marts"], STORED_FIRST),
         "suite_reporting": _suite(SUITES["suite_reporting"], STORED_FIRST),
@@ -172,7 +234,7 @@ def _snapshot_sql(name: str) -> str:
     )
 
 
-def _calendar_sql(start: str, end_exclusive: str) -> str:
+def calendar_sql(start: str, end_exclusive: str) -> str:
     months = "Enero Febrero Marzo Abril Mayo Junio Julio Agosto Septiembre Octubre Noviembre Diciembre"
     days = "Domingo Lunes Martes Miércoles Jueves Viernes Sábado"
     pick = lambda expr, names: (
@@ -227,7 +289,7 @@ def _relations() -> dict[str, str]:
     r.update({f"stg_{name}": _stg(name) for name in staged})
     r.update({name: _snapshot_sql(name) for name in SNAPSHOTS})
     r["int_movimientos_insumos_con_insumo_historico"] = _asof_sql()
-    r["dim_fecha"] = _calendar_sql("2020-01-01", "2036-01-01")
+    r["dim_fecha"] = calendar_sql("2020-01-01", "2036-01-01")
     r["dim_finca"] = "SELECT id_finca, nombre_finca, ubicacion, estado FROM stg_fincas"
     r["dim_catalogo_finanzas"] = (
         "SELECT id_item, tipo_transaccion, categoria, clase_gasto, estado, finca_asociada "
@@ -332,6 +394,81 @@ def _relations() -> dict[str, str]:
     return r
 
 
+def scored_sql(series: str) -> str:
+    """Scores over a relation ``series`` of (tabla, metrica, columna, bucket, valor)."""
+    return f"""
+WITH {series},
+w AS (SELECT *, count(valor) OVER h AS n_puntos, avg(valor) OVER h AS m, stddev_samp(valor) OVER h
+  AS s FROM series WINDOW h AS (PARTITION BY tabla, metrica, columna ORDER BY bucket
+  ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
+SELECT tabla, metrica, columna, bucket, valor, n_puntos, round(m, 6) AS media,
+  round(s, 6) AS desviacion, round(CASE WHEN s > 0 THEN (valor - m) / s END, 6) AS z,
+  CASE WHEN n_puntos < 7 THEN 'insufficient_history'
+       WHEN coalesce(s, 0) = 0 AND valor <> m THEN 'anomaly'
+       WHEN s > 0 AND abs((valor - m) / s) > 3 THEN 'anomaly' ELSE 'ok' END AS veredicto FROM w"""
+
+
+def volume_sql(table: str, stamp: str, until: str | None = None) -> str:
+    """Rows per day of a table, with zeros for the days without any."""
+    end = f"greatest(CAST(max({stamp}) AS DATE), DATE '{until}')" if until else f"CAST(max({stamp}) AS DATE)"
+    return f"""SELECT '{table}' AS tabla, 'row_count' AS metrica, CAST(NULL AS VARCHAR) AS columna,
+  CAST(d AS DATE) AS bucket, CAST(coalesce(n, 0) AS DOUBLE) AS valor
+  FROM (SELECT unnest(generate_series(CAST(min({stamp}) AS DATE), {end}, INTERVAL 1 DAY)) AS d
+    FROM {table})
+  LEFT JOIN (SELECT CAST({stamp} AS DATE) AS b, count(*) AS n FROM {table} GROUP BY 1) ON b = d"""
+
+
+def _raw_check_sql(relations: dict[str, str]) -> dict[str, str]:
+    ages = " UNION ALL ".join(
+        f"SELECT '{t.table}' AS tabla, CAST(max({t.loaded_at}) AS TIMESTAMP) AS max_loaded_at, "
+        f"CASE WHEN max({t.loaded_at}) + INTERVAL {t.freshness_days[1]} DAY < TIMESTAMP '{RAW_NOW}' "
+        f"THEN 'error' WHEN max({t.loaded_at}) + INTERVAL {t.freshness_days[0]} DAY < "
+        f"TIMESTAMP '{RAW_NOW}' THEN 'warn' ELSE 'pass' END AS status FROM {t.table}"
+        for t in WATCHED
+    )
+    lost = " UNION ALL ".join(
+        f"SELECT '{t.table}' AS tabla, a AS conteo_raw, b AS conteo_operacional, a - b AS diferencia "
+        f"FROM (SELECT count(*) FILTER (estado_registro <> 'Anulado') AS a, count(*) AS b "
+        f"FROM {t.table}) WHERE a <> b"
+        for t in WATCHED
+        if t.is_fact
+    )
+    volumes = " UNION ALL ".join(
+        volume_sql(t.table, t.loaded_at, str(RAW_NOW.date())) for t in WATCHED
+    )
+    profile = []
+    for column in PROFILED.schema:
+        c, kind = column.name, column.dataType.simpleString()
+        suffix, measured = {
+            "string": ("_length", f"length({c})"),
+            "date": ("", f"({c} - DATE '1970-01-01')"),
+            "timestamp_ntz": ("", f"epoch_us({c})"),
+        }.get(kind, ("", c))
+        profile += [
+            (name, c, value)
+            for name, value in (
+                ("null_count", f"count(*) FILTER ({c} IS NULL)"),
+                ("distinct_count", f"count(DISTINCT {c})"),
+                (f"min{suffix}", f"min({measured})"),
+                (f"max{suffix}", f"max({measured})"),
+            )
+        ]
+    profiled = " UNION ALL ".join(
+        f"SELECT '{PROFILED.table}' AS tabla, '{m}' AS metrica, '{c}' AS columna, "
+        f"DATE '{RAW_NOW.date()}' AS bucket, CAST({value} AS DOUBLE) AS valor FROM {PROFILED.table}"
+        for m, c, value in profile
+    )
+    raw = {t.table: relations[t.table] for t in WATCHED}
+    scored = scored_sql(f"series AS ({volumes})").replace("WITH ", "", 1)
+    ctes = ", ".join(f"{name} AS MATERIALIZED ({query})" for name, query in raw.items())
+    return {
+        "raw_freshness": with_relations(ages, raw),
+        "raw_reconciliation": with_relations(lost, raw),
+        "raw_volume_anomalies": f"WITH {ctes}, {scored}",
+        "raw_column_profile": f"SELECT * FROM ({with_relations(profiled, raw)}) WHERE valor IS NOT NULL",
+    }
+
+
 def _rule_sql(rule: Check) -> str:
     column = rule.columns[0]
     if rule.kind == "unique":
@@ -373,6 +510,7 @@ def oracle_sql() -> dict[str, str]:
     names = [*REGISTERED, "exactitud_existencia_insumo_vs_ledger"]
     sql = {n: with_relations(relations[n], {k: v for k, v in relations.items() if k != n}) for n in names}
     sql.update({name: sql[report] for name, report in PRESENTED.items()})
+    sql.update(_raw_check_sql(relations))
     for name, rules in SUITES.items():
         union = " UNION ALL ".join(_rule_sql(r) for r in rules())
         sql[name] = with_relations(union, relations)

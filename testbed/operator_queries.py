@@ -37,7 +37,7 @@ from aprisco.quality import (
     unique,
     volume_metrics,
 )
-from testbed.model_queries import _calendar_sql
+from testbed.model_queries import calendar_sql, scored_sql, volume_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,7 +120,7 @@ def mojibake_repair(spark, sf_dir):
 # --- calendar and star joins ---------------------------------------------------------------
 
 @query(f"""
-WITH cal AS ({_calendar_sql('1995-01-01', '2002-01-01')}),
+WITH cal AS ({calendar_sql('1995-01-01', '2002-01-01')}),
 n AS (SELECT CAST(l_shipdate AS DATE) AS fecha, count(*) AS n_lines FROM lineitem GROUP BY 1)
 SELECT cal.*, n.n_lines FROM cal LEFT JOIN n USING (fecha)
 """)
@@ -133,7 +133,7 @@ def date_dimension_activity(spark, sf_dir):
 
 
 @query(f"""
-WITH cal AS ({_calendar_sql('1995-01-01', '2001-01-01')})
+WITH cal AS ({calendar_sql('1995-01-01', '2001-01-01')})
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day, dia_semana_nombre, estacion, c_name,
        c_mktsegment, o_totalprice
 FROM orders JOIN customer ON o_custkey = c_custkey
@@ -574,39 +574,16 @@ def source_freshness(spark, sf_dir):
 
 # --- anomalies -----------------------------------------------------------------------------
 
-def _scored(metrics: str) -> str:
-    """Reference SQL of the scores over a series of (tabla, metrica, columna, bucket, valor)."""
-    return f"""
-WITH {metrics},
-w AS (SELECT *, count(valor) OVER h AS n_puntos, avg(valor) OVER h AS m, stddev_samp(valor) OVER h
-  AS s FROM series WINDOW h AS (PARTITION BY tabla, metrica, columna ORDER BY bucket
-  ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
-SELECT tabla, metrica, columna, bucket, valor, n_puntos, round(m, 6) AS media,
-  round(s, 6) AS desviacion, round(CASE WHEN s > 0 THEN (valor - m) / s END, 6) AS z,
-  CASE WHEN n_puntos < 7 THEN 'insufficient_history'
-       WHEN coalesce(s, 0) = 0 AND valor <> m THEN 'anomaly'
-       WHEN s > 0 AND abs((valor - m) / s) > 3 THEN 'anomaly' ELSE 'ok' END AS veredicto FROM w"""
-
-
 VOLUMES = (("events", "ts"), ("lineitem", "l_shipdate"), ("orders", "o_orderdate"))
 
 
-@query(_scored(
-    "series AS (" + " UNION ALL ".join(
-        f"""SELECT '{t}' AS tabla, 'row_count' AS metrica, CAST(NULL AS VARCHAR) AS columna,
-  CAST(d AS DATE) AS bucket, CAST(coalesce(n, 0) AS DOUBLE) AS valor
-  FROM (SELECT unnest(generate_series(CAST(min({ts}) AS DATE), CAST(max({ts}) AS DATE),
-    INTERVAL 1 DAY)) AS d FROM {t})
-  LEFT JOIN (SELECT CAST({ts} AS DATE) AS b, count(*) AS n FROM {t} GROUP BY 1) ON b = d"""
-        for t, ts in VOLUMES
-    ) + ")"
-))
+@query(scored_sql(f"series AS ({' UNION ALL '.join(volume_sql(t, ts) for t, ts in VOLUMES)})"))
 def volume_anomaly(spark, sf_dir):
     loads = [daily_loads(read(spark, sf_dir, t), t, ts) for t, ts in VOLUMES]
     return score_anomalies(volume_metrics(reduce(DataFrame.union, loads)))
 
 
-@query(_scored("""l AS (SELECT CAST(ts AS DATE) AS bucket, max(ts) AS t FROM events
+@query(scored_sql("""l AS (SELECT CAST(ts AS DATE) AS bucket, max(ts) AS t FROM events
   WHERE event_type IN ('purchase', 'signup') GROUP BY 1),
 g AS (SELECT bucket, epoch_us(t) - lag(epoch_us(t)) OVER (ORDER BY bucket) AS us FROM l),
 series AS (SELECT 'events' AS tabla, 'seconds_since_previous_load' AS metrica,
@@ -626,7 +603,7 @@ PROFILED = {
 }
 
 
-@query(_scored("series AS (" + " UNION ALL ".join(
+@query(scored_sql("series AS (" + " UNION ALL ".join(
     f"""SELECT 'events' AS tabla, '{name}' AS metrica, '{column}' AS columna,
   CAST(ts AS DATE) AS bucket, CAST({value} AS DOUBLE) AS valor FROM events GROUP BY 4"""
     for column, (measured, suffix) in PROFILED.items()

@@ -4,8 +4,10 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from aprisco.operators import asof_version_join
+from tests.test_joins import SHUFFLED, _with
 
 FACTS = "id string, k string, day date"
 VERSIONS = "k string, sk string, category string, since timestamp_ntz, until timestamp_ntz"
@@ -106,3 +108,35 @@ def test_random_versions_overlap_and_leave_gaps(spark, seed):
     ]
     joined = {r["id"]: r["category_then"] for r in _join(spark, facts, versions).collect()}
     assert joined == {f[0]: _by_hand(f, versions) for f in facts}
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_hot_key_and_day_is_split(spark, tmp_path, unique):
+    """A third of the facts on one key and day: the join is cut there, and no fact is lost."""
+    hot = F.col("id") % 3 == 0
+    spark.range(0, 40_000, 1, 8).select(
+        F.md5(F.col("id").cast("string")).alias("id"),
+        F.when(hot, F.lit("k0")).otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.when(hot, F.lit(date(2026, 1, 5))).otherwise(
+            F.date_add(F.lit(date(2026, 1, 1)), (F.col("id") % 30).cast("int"))).alias("day"),
+    ).write.parquet(str(tmp_path / "f"))
+    facts = spark.read.parquet(str(tmp_path / "f"))
+    versions = spark.createDataFrame(
+        [(f"k{i}", f"s{i}", f"c{i}", datetime(2026, 1, 1), None) for i in range(400)], VERSIONS
+    )
+
+    def run():
+        joined = asof_version_join(
+            facts, versions, key="k", fact_date="day", fact_id="id", attrs={"category": "then"},
+            valid_from="since", valid_to="until", version_id="sk", unique_facts=unique,
+        )
+        counted = joined.agg(F.count(F.lit(1)), F.count("then"), F.count_if(F.col("then") == "c0"))
+        found = tuple(counted.collect()[0])
+        joined.collect()
+        return found, joined._jdf.queryExecution().executedPlan().toString()
+
+    (n, resolved, of_hot), text = _with(spark, SHUFFLED, run)
+    k0 = facts.where("k = 'k0'").count()
+    known = facts.where("cast(substring(k, 2) as int) < 400").count()
+    assert (n, resolved, of_hot) == (40_000, known, k0)
+    assert "skew=true" in text

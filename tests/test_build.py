@@ -6,9 +6,10 @@ from decimal import Decimal
 
 import pytest
 
-from aprisco.plans import MODELS, BuildFailed, Warehouse, build, present
+from aprisco.plans import MODELS, BuildFailed, Warehouse, build, present, refresh
 from aprisco.plans.suite import SUITE
 from aprisco.sources import RawZone
+from aprisco.sources.raw import LoadFailed
 from aprisco.sources.schemas import RAW_TABLES, raw_table
 from tests.farm import FARM, NOW, fact, farm_rows, item, raw_zone
 
@@ -55,7 +56,9 @@ def test_all_checks_pass(built):
         kinds = Counter(v.check_id.split("_")[0] for v in run.verdicts)
         assert kinds["freshness"] == 26 + 26  # load age, and drift of the load gaps
         assert kinds["volume"] == kinds["all"] == 26
-        assert len(run.verdicts) == 127 + 126 + 15 + 1 + 1 + 26 + 78
+        assert kinds["conteo"] == 26
+        # 373 checks, and the age of 26 sources.
+        assert len(run.verdicts) == 127 + 126 + 15 + 26 + 78 + 1 + 26
         assert [v for v in run.verdicts if v.status == "fail"] == []
 
 
@@ -170,7 +173,7 @@ def test_lost_rows_of_the_replica_stop_the_build(spark, tmp_path):
     live = farm_rows()
     replica = farm_rows()
     replica["pesaje_leche"] = replica["pesaje_leche"][:-1]
-    with pytest.raises(BuildFailed, match="conteo_raw_vs_operacional: 1"):
+    with pytest.raises(BuildFailed, match="^conteo_raw_vs_operacional_tb_fact_pesaje_leche: 1$"):
         build(
             spark, raw_zone(spark, replica), str(tmp_path), NOW, live=raw_zone(spark, live),
             domains=["veterinaria"],
@@ -217,3 +220,19 @@ def test_raw_files(spark, tmp_path, rows):
     zone = raw_zone(spark, farm_rows())
     zone.table("fincas").write.parquet(f"{tmp_path}/tb_dim_fincas.parquet")
     assert RawZone.from_files(spark, str(tmp_path)).table("fincas").count() == 2
+
+
+def test_refresh_builds_only_after_a_whole_load(spark, tmp_path):
+    live = raw_zone(spark, farm_rows())
+    raw_root, root = str(tmp_path / "raw"), str(tmp_path / "warehouse")
+
+    def load(table):
+        if table == "tb_dim_roles":
+            raise OSError("source is down")
+        return live._load(table)
+
+    with pytest.raises(LoadFailed):
+        refresh(spark, RawZone(load), raw_root, root, NOW)
+    assert not (tmp_path / "warehouse").exists()
+    run = refresh(spark, live, raw_root, root, NOW, domains=["finanzas"])
+    assert run.warehouse["rpt_transacciones_financieras_recientes"].count() == 1
