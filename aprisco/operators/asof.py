@@ -39,21 +39,24 @@ def _timeline(
     # A version without a covered midnight keeps an empty stretch: it may still be the oldest.
     end = F.coalesce(F.greatest(start, ceil_to_date(F.col(valid_to))), start)
     end = F.when(F.col(valid_to).isNull(), F.expr(OPEN)).otherwise(end)
-    age = F.struct(F.col(valid_from).alias("since"), tie_break.alias("tie"))
+    version = F.struct(
+        F.col(valid_from).alias("since"), tie_break.alias("tie"), payload.alias("attrs")
+    )
     distinct = (
         versions.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("k"), start.alias("a"), end.alias("b"))
-        .agg(F.min(age).alias("age"), F.min_by(payload, age).alias("attrs"))
+        .agg(F.min(version).alias("oldest"))
+        .select("k", "a", "b", "oldest.*")
     )
-    by_age = Window.partitionBy("k").orderBy("age")
+    by_age = Window.partitionBy("k").orderBy("since", "tie")
     older = by_age.rowsBetween(Window.unboundedPreceding, -1)
     ranked = distinct.select(
-        "k", "b", "age", "attrs",
+        "k", "b", "since", "tie", "attrs",
         F.greatest("a", F.max("b").over(older)).alias("from_day"),
         (F.row_number().over(by_age) == 1).alias("is_oldest"),
     )
     entry = lambda day, until: F.struct(
-        day.alias("day"), F.struct(until.alias("until"), "age", "attrs").alias("v")
+        day.alias("day"), F.struct(until.alias("until"), "since", "tie", "attrs").alias("v")
     )
     wins = F.when(F.col("from_day") < F.col("b"), entry(F.col("from_day"), F.col("b")))
     # The oldest version also opens the timeline, as the fallback that covers no day.
@@ -125,7 +128,7 @@ def asof_version_join(
     )
     if not unique_facts:
         best = Window.partitionBy(fact_id).orderBy(
-            F.coalesce("__priority", F.lit(2)), F.col("__v.age").asc_nulls_first()
+            F.coalesce("__priority", F.lit(2)), F.col("__v.since"), F.col("__v.tie")
         )
         joined = joined.withColumn("__rn", F.row_number().over(best)).where("__rn = 1")
     return joined.select(
