@@ -47,3 +47,23 @@ def write_next(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> st
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
     return target
+
+
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest finished versions of a table and return what was deleted.
+
+    For the replica, dimensions and facts, which every version holds whole. Never for a
+    history, whose older versions hold what they closed. Readers of an older version must be
+    done; ``keep`` leaves them a margin.
+    """
+    if keep < 1:
+        raise ValueError("at least the newest version is kept")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = complete_versions(spark, path)[:-keep]
+    for version in old:
+        if fs.globStatus(hadoop.Path(version, "scd_state=*")):
+            raise ValueError(f"{path} is a history; its versions belong together")
+    for version in old:
+        fs.delete(hadoop.Path(version), True)
+    return old

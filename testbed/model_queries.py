@@ -28,14 +28,21 @@ from aprisco.sources.schemas import raw_table
 from aprisco.sources.shared import cut_lineage
 from testbed.farm_raw import raw_sql, raw_zone
 
-# Two snapshot runs. Between them keys that end in 9 leave the source, keys that end in 3 or
-# 6 change a tracked column, and keys that end in 5 are new.
+# Two snapshot runs. The first sees what had been created by then; before the second, one farm
+# was closed and two others changed a tracked column of all they own.
 RUNS = (datetime(2022, 6, 1, 6, 30), datetime(2024, 1, 1))
 CHANGED = {
     "snapshot_animal": "lote",
     "snapshot_lote": "nombre",
     "snapshot_insumo": "categoria",
 }
+CREATED_BEFORE = {
+    "snapshot_animal": "2023-10-01",
+    "snapshot_lote": "2023-12-01",
+    "snapshot_insumo": "2023-02-10",
+}
+CLOSED_FARM = "Supplier#000000009"
+CHANGING_FARMS = ("Supplier#000000003", "Supplier#000000006")
 
 
 class TwoRunWarehouse(Warehouse):
@@ -48,11 +55,13 @@ class TwoRunWarehouse(Warehouse):
 
     def _two_runs(self, name: str) -> DataFrame:
         spec, column = SNAPSHOTS[name], CHANGED[name]
-        source, last = self[spec.source], F.right(F.col(spec.unique_key), F.lit(1))
-        first = source.where(last != "5")
-        second = source.where(last != "9").withColumn(
+        source, farm = self[spec.source], F.col("finca_asociada")
+        first = source.where(F.col("fecha_creacion") < F.lit(CREATED_BEFORE[name]).cast("date"))
+        second = source.where(farm != CLOSED_FARM).withColumn(
             column,
-            F.when(last.isin("3", "6"), F.concat(column, F.lit(" B"))).otherwise(F.col(column)),
+            F.when(farm.isin(*CHANGING_FARMS), F.concat(column, F.lit(" B"))).otherwise(
+                F.col(column)
+            ),
         )
         history = check_snapshot(None, first, spec.unique_key, spec.check_cols, RUNS[0])
         return check_snapshot(history, second, spec.unique_key, spec.check_cols, RUNS[1])
@@ -225,12 +234,17 @@ def _snapshot_sql(name: str) -> str:
             f"{start} AS dbt_valid_from, {end} AS dbt_valid_to FROM {spec.source} "
         )
 
-    moved = f"right({key}, 1) IN ('3', '6') AND {column} IS NOT NULL"
-    seen_first = f"right({key}, 1) <> '5'"
+    farms = ", ".join(f"'{f}'" for f in CHANGING_FARMS)
+    value = f"CASE WHEN finca_asociada IN ({farms}) THEN concat({column}, ' B') ELSE {column} END"
+    moved = f"finca_asociada IN ({farms}) AND {column} IS NOT NULL"
+    seen_first = f"fecha_creacion < DATE '{CREATED_BEFORE[name]}'"
+    still_open = "CAST(NULL AS TIMESTAMP)"
+    # concat skips NULLs in DuckDB, so a NULL is kept apart.
     return (
         row(column, first, f"CASE WHEN {moved} THEN {second} END") + f"WHERE {seen_first} UNION ALL "
-        + row(f"concat({column}, ' B')", second, "CAST(NULL AS TIMESTAMP)") + f"WHERE {moved} UNION ALL "
-        + row(column, second, "CAST(NULL AS TIMESTAMP)") + f"WHERE NOT ({seen_first})"
+        + row(value, second, still_open) + f"WHERE {seen_first} AND {moved} UNION ALL "
+        + row(f"CASE WHEN {column} IS NOT NULL THEN {value} END", second, still_open)
+        + f"WHERE NOT ({seen_first}) AND finca_asociada <> '{CLOSED_FARM}'"
     )
 
 

@@ -307,58 +307,56 @@ def scd2_current(spark, sf_dir):
 SNAPSHOT_RUNS = (datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 13), datetime(2024, 1, 1, 20))
 
 
-@query("""
-WITH v AS (
-  SELECT c_custkey, c_name, c_mktsegment, c_acctbal, 8 AS since, CASE WHEN c_custkey % 3 = 0 AND
-    c_custkey % 11 <> 0 THEN 13 END AS until FROM customer WHERE c_custkey % 13 <> 0
-  UNION ALL
-  SELECT c_custkey, c_name, concat(c_mktsegment, '-2'), c_acctbal + 1, 13, CASE WHEN c_custkey % 2
-    = 0 THEN 20 END FROM customer
-  WHERE c_custkey % 3 = 0 AND c_custkey % 11 <> 0 AND c_custkey % 13 <> 0
-  UNION ALL
-  SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 THEN concat(c_mktsegment, '-2')
-    ELSE c_mktsegment END, c_acctbal + 1, 13,
-    CASE WHEN c_custkey % 2 = 0 AND c_custkey % 3 = 0 THEN 20 END
-  FROM customer WHERE c_custkey % 13 = 0 AND c_custkey % 11 <> 0
-  UNION ALL
-  SELECT c_custkey, c_name, CAST(NULL AS VARCHAR), c_acctbal + 2, 20, NULL FROM customer
-  WHERE c_custkey % 6 = 0 AND c_custkey % 11 <> 0),
-t AS (SELECT c_custkey, c_name, c_mktsegment, c_acctbal,
-  TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * since AS dbt_valid_from,
-  TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * until AS dbt_valid_to FROM v)
-SELECT *, md5(concat(c_custkey, '|', strftime(dbt_valid_from, '%Y-%m-%d %H:%M:%S.%f')))
-  AS dbt_scd_id FROM t
+@query(f"""
+WITH b AS (
+  SELECT c_custkey, c_name, c_mktsegment, c_acctbal, TIMESTAMP '{SNAPSHOT_RUNS[0]}' AS run
+    FROM customer WHERE c_nationkey <> 7
+  UNION ALL SELECT c_custkey, c_name,
+    CASE WHEN c_nationkey < 9 THEN c_mktsegment || '-2' ELSE c_mktsegment END,
+    c_acctbal + 1, TIMESTAMP '{SNAPSHOT_RUNS[1]}' FROM customer WHERE c_nationkey <> 11
+  UNION ALL SELECT c_custkey, c_name,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN NULL
+         WHEN c_nationkey < 9 THEN c_mktsegment || '-2' ELSE c_mktsegment END,
+    c_acctbal + 1 + 1, TIMESTAMP '{SNAPSHOT_RUNS[2]}' FROM customer
+    WHERE c_nationkey <> 11 AND c_acctbal + 1 > 1),
+m AS (SELECT *, lag(c_mktsegment) OVER w AS before, row_number() OVER w AS nth FROM b
+  WINDOW w AS (PARTITION BY c_custkey ORDER BY run))
+SELECT c_custkey, c_name, c_mktsegment, c_acctbal, run AS dbt_valid_from,
+  lead(run) OVER (PARTITION BY c_custkey ORDER BY run) AS dbt_valid_to,
+  md5(concat(c_custkey, '|', strftime(run, '%Y-%m-%d %H:%M:%S.%f'))) AS dbt_scd_id
+FROM m WHERE nth = 1 OR c_mktsegment IS DISTINCT FROM before
 """)
 def snapshot_merge(spark, sf_dir):
     """Three snapshot runs over customers.
 
-    The first does not see multiples of 13. By the second, multiples of 11 are gone,
-    multiples of 3 moved to another segment, and every balance changed, which is not tracked.
-    In the third, multiples of 6 have lost their segment, and everything odd is gone.
+    The first does not see one nation yet. By the second another nation is gone, nations below
+    9 moved to other segments, and every balance changed, which is not tracked. In the third
+    the builders lost their segment, and who owes money is gone.
     """
-    customers = read(spark, sf_dir, "customer").drop("c_nationkey")
-    key = F.col("c_custkey")
-    second = (
-        customers.where(key % 11 != 0)
-        .withColumn("c_mktsegment", F.when(
-            key % 3 == 0, F.concat("c_mktsegment", F.lit("-2"))).otherwise(F.col("c_mktsegment")))
-        .withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    )
-    third = (
-        second.where(key % 2 == 0)
-        .withColumn("c_mktsegment", F.when(key % 3 != 0, F.col("c_mktsegment")))
-        .withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    )
+    customers = read(spark, sf_dir, "customer")
+    nation, segment, balance = (F.col(c) for c in ("c_nationkey", "c_mktsegment", "c_acctbal"))
+    builders = segment.startswith("BUILDING")
+    second = customers.where(nation != 11).withColumns({
+        "c_mktsegment": F.when(nation < 9, F.concat(segment, F.lit("-2"))).otherwise(segment),
+        "c_acctbal": balance + 1,
+    })
+    third = second.where(balance > 1).withColumns({
+        "c_mktsegment": F.when(~builders, segment),
+        "c_acctbal": balance + 1,
+    })
     history = None
-    for copy, run_ts in zip((customers.where(key % 13 != 0), second, third), SNAPSHOT_RUNS,
+    for copy, run_ts in zip((customers.where(nation != 7), second, third), SNAPSHOT_RUNS,
                             strict=True):
-        history = check_snapshot(history, copy, "c_custkey", ["c_mktsegment"], run_ts)
+        history = check_snapshot(
+            history, copy.drop("c_nationkey"), "c_custkey", ["c_mktsegment"], run_ts
+        )
     return history
 
 
 @query(f"""
 WITH s AS (SELECT user_id, CAST(ts AS DATE) AS d, ts, event_id, value FROM events
-  WHERE event_type = 'signup' AND user_id % 10 <> 0
+  WHERE event_type = 'signup' AND user_id NOT IN
+    (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
   QUALIFY row_number() OVER (PARTITION BY user_id, d ORDER BY ts DESC, event_id DESC) = 1),
 m AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM s),
 v AS (SELECT user_id, value, ts AS valid_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts)
@@ -371,8 +369,11 @@ c AS (SELECT p.*, v.value AS signup_value, row_number() OVER (PARTITION BY event
 SELECT event_id, user_id, event_day, signup_value FROM c WHERE rn = 1
 """)
 def asof_version(spark, sf_dir):
-    """Purchases with the user's signup state at the time; one user in ten has no history."""
-    batches = daily_state(spark, sf_dir, "signup").where(F.col("user_id") % 10 != 0)
+    """Purchases with the user's signup state at the time; builders have no history."""
+    builders = read(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    batches = daily_state(spark, sf_dir, "signup").join(
+        builders, F.col("user_id") == F.col("c_custkey"), "left_anti"
+    )
     versions = replay_snapshots(
         batches.select("user_id", "value", "last_ts"), "user_id", ["value"], "last_ts"
     )

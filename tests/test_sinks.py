@@ -20,7 +20,7 @@ from aprisco.sources import (
 )
 from aprisco.sources.raw import LoadFailed, SchemaDrift, check_schema
 from aprisco.sources.shared import cut_lineage, shared_folder
-from aprisco.sources.versions import complete_versions
+from aprisco.sources.versions import complete_versions, expire_versions
 from tests.farm import farm_rows, frame, raw_zone
 
 FACT = "id int, farm string, day date"
@@ -100,6 +100,24 @@ def test_table_is_rebuilt_without_touching_the_old(spark, tmp_path, rows):
     assert len(complete_versions(spark, path)) == 2
 
 
+def test_old_versions_expire_but_never_a_history(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(4):
+        newest = write_table(spark.range(n), path)
+    assert len(expire_versions(spark, path, keep=3)) == 1
+    assert len(expire_versions(spark, path, keep=1)) == 2
+    assert newest.count() == 3
+    assert complete_versions(spark, path) == [f"{path}/table_version=00000004"]
+    assert write_table(spark.range(9), path).count() == 9
+    with pytest.raises(ValueError):
+        expire_versions(spark, path, keep=0)
+    history = str(tmp_path / "h")
+    for run_ts in RUNS[:3]:
+        run_snapshot(_copy(spark, ("a", "x", 1)), history, "id", ["state"], run_ts)
+    with pytest.raises(ValueError, match="is a history"):
+        expire_versions(spark, history, keep=1)
+
+
 def test_view(spark):
     register_view(spark.range(4), "some_view")
     assert spark.sql("select count(*) from some_view").first()[0] == 4
