@@ -26,6 +26,9 @@ class Check:
     values: tuple[str, ...] = ()
     parent: str | None = None
     field: str | None = None
+    # Only for ``not_null_within``.
+    max_null_fraction: float = 0.0
+    condition: str | None = None
 
     @property
     def id(self) -> str:
@@ -43,6 +46,8 @@ class Check:
             return q.accepted_values(df, first, self.values)
         if self.kind == "relationships":
             return q.relationships(df, first, relation(self.parent), self.field)
+        if self.kind == "not_null_within":
+            return q.not_null_within(df, first, self.max_null_fraction, self.condition)
         raise ValueError(f"unknown kind of check: {self.kind}")
 
 

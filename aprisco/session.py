@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Also the size of the files a partitioned fact is cut into.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
 }
 
 

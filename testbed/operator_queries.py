@@ -47,12 +47,13 @@ CALENDAR = (date(1995, 1, 1), date(2002, 1, 1))
 NOW = datetime(2024, 2, 10)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, with its reference SQL."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under its function's name, with its reference SQL."""
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql is not None:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
 
     return register
@@ -123,7 +124,7 @@ def mojibake_repair(spark, sf_dir):
 WITH cal AS ({calendar_sql('1995-01-01', '2002-01-01')}),
 n AS (SELECT CAST(l_shipdate AS DATE) AS fecha, count(*) AS n_lines FROM lineitem GROUP BY 1)
 SELECT cal.*, n.n_lines FROM cal LEFT JOIN n USING (fecha)
-""")
+""", name="date_dimension")
 def date_dimension_activity(spark, sf_dir):
     """Every calendar day with all its labels and the lines shipped on it, if any."""
     lines = read(spark, sf_dir, "lineitem").groupBy(day("l_shipdate").alias("fecha")).agg(
@@ -223,7 +224,7 @@ SELECT n_name, CAST(l_shipdate AS DATE) AS ship_day, l_returnflag,
        count(*) AS n_lines
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 GROUP BY 1, 2, 3
-""")
+""", name="daily_rollup")
 def daily_rollup_by_nation(spark, sf_dir):
     suppliers = star_join(
         read(spark, sf_dir, "supplier"), read(spark, sf_dir, "nation"),
@@ -564,7 +565,7 @@ LOADS = {
     f"WHEN TIMESTAMP '{NOW}' - max({stamp}) > INTERVAL {warn} DAY THEN 'warn' ELSE 'pass' END "
     f"AS status FROM {name.split('_')[0].replace('none', 'events')} WHERE {kept}"
     for name, (stamp, kept, (warn, error)) in LOADS.items()
-))
+), name="freshness")
 def source_freshness(spark, sf_dir):
     sources = {}
     for name, (stamp, kept, limits) in LOADS.items():

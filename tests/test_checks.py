@@ -132,11 +132,17 @@ def test_runner_judges_all_checks_of_a_table(spark):
         Check("relationships", "child", ("parent",), parent="parent", field="v"),
         Check("unique", "parent", ("v",)),
         Check("not_null", "parent", ("v",)),
+        Check("unique", "child", ("id", "parent")),
+        Check("not_null_within", "child", ("state",), max_null_fraction=0.3, condition="id = 2"),
+        Check("not_null_within", "child", ("id",), max_null_fraction=0.3),
     ]
     verdicts = run_checks(rules, tables.__getitem__)
     assert [(v.failures, v.status) for v in verdicts] == [
         (1, "fail"), (1, "fail"), (1, "warn"), (1, "fail"), (2, "fail"), (0, "pass"), (0, "pass"),
+        (0, "pass"), (1, "fail"), (0, "pass"),
     ]
+    with pytest.raises(ValueError, match="unknown kind"):
+        run_checks([Check("odd", "child", ("id",))], tables.__getitem__)
     assert run_checks([], tables.__getitem__) == []
 
 

@@ -42,7 +42,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint>" in plan(spark, "check_unique")
     # A count reads no column; a freshness check reads one.
     assert "ReadSchema: struct<>" in plan(spark, "reconcile_counts")
-    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan(spark, "source_freshness")
+    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan(spark, "freshness")
     # Reports read only what they show, through all layers.
     births = plan(spark, "rpt_nacimientos_recientes")
     assert "o_totalprice" not in births and "s_acctbal" not in births
