@@ -54,8 +54,15 @@ class TwoRunWarehouse(Warehouse):
         return super().__getitem__(name)
 
     def _two_runs(self, name: str) -> DataFrame:
-        spec, column = SNAPSHOTS[name], CHANGED[name]
-        source, farm = self[spec.source], F.col("finca_asociada")
+        spec, history = SNAPSHOTS[name], None
+        for copy, run_ts in zip(self.copies(name), RUNS, strict=True):
+            history = check_snapshot(history, copy, spec.unique_key, spec.check_cols, run_ts)
+        return history
+
+    def copies(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """The source of a snapshot as either run finds it."""
+        column = CHANGED[name]
+        source, farm = self[SNAPSHOTS[name].source], F.col("finca_asociada")
         first = source.where(F.col("fecha_creacion") < F.lit(CREATED_BEFORE[name]).cast("date"))
         second = source.where(farm != CLOSED_FARM).withColumn(
             column,
@@ -63,11 +70,10 @@ class TwoRunWarehouse(Warehouse):
                 F.col(column)
             ),
         )
-        history = check_snapshot(None, first, spec.unique_key, spec.check_cols, RUNS[0])
-        return check_snapshot(history, second, spec.unique_key, spec.check_cols, RUNS[1])
+        return first, second
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str) -> TwoRunWarehouse:
     return TwoRunWarehouse(spark, raw_zone(spark, sf_dir), RUNS[1])
 
 
@@ -296,7 +302,7 @@ def _star(fact: str, date: str, farm: str, columns: str) -> str:
     )
 
 
-def _relations() -> dict[str, str]:
+def relations_sql() -> dict[str, str]:
     """Every relation of the warehouse as SQL over the relations below it."""
     r = dict(raw_sql())
     staged = [n.removeprefix("stg_") for n, m in MODELS.items() if m.layer == "staging"]
@@ -520,7 +526,7 @@ def with_relations(final: str, relations: dict[str, str]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    relations = _relations()
+    relations = relations_sql()
     names = [*REGISTERED, "exactitud_existencia_insumo_vs_ledger"]
     sql = {n: with_relations(relations[n], {k: v for k, v in relations.items() if k != n}) for n in names}
     sql.update({name: sql[report] for name, report in PRESENTED.items()})
