@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from aprisco.llm import quality, sharding, tokens
+from aprisco.llm import neardup, quality, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -38,6 +38,10 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 def op7_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,6 @@ def shipped(query: Query) -> Query:
 
 
 NATIVE: tuple[Query, ...] = (op1_hypergeometric_shards,)
-WITH_PYTHON: tuple[Query, ...] = (op7_isolation_forest, op8_two_tier_tokens)
+WITH_PYTHON: tuple[Query, ...] = (op6_superminhash, op7_isolation_forest, op8_two_tier_tokens)
 QUERIES: dict[str, Query] = {q.__name__: q for q in NATIVE} | {q.__name__: shipped(q) for q in WITH_PYTHON}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aprisco.llm import quality, queries, sharding
+from aprisco.llm import neardup, quality, queries, sharding
 from aprisco.sources.shared import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,12 +18,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, queries.table(spark, sf_dir, "labels"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    queries.ship(spark)
+    return neardup.keep_one_of_each(docs)
+
+
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with their shard and slot."""
     return sharding.shard_uniformly(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality_rules), ("shards", shards)]
+STAGES: list[tuple[str, Stage]] = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("shards", shards)]
 
 #: Trained models and random draws are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
