@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aprisco.llm import neardup, quality, sharding, tokens
+from aprisco.llm import fmindex, neardup, quality, sharding, suffixes, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -38,6 +38,16 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fmindex.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
+def op5_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -61,6 +71,8 @@ def shipped(query: Query) -> Query:
 
 
 NATIVE: tuple[Query, ...] = (op1_hypergeometric_shards,)
-WITH_PYTHON: tuple[Query, ...] = (op6_superminhash, op7_isolation_forest, op8_two_tier_tokens)
+WITH_PYTHON: tuple[Query, ...] = (
+    op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
+)
 QUERIES: dict[str, Query] = {q.__name__: q for q in NATIVE} | {q.__name__: shipped(q) for q in WITH_PYTHON}
 ORACLES: dict[str, str] = {}
