@@ -13,6 +13,7 @@ rows get equal counts. Other columns play no part.
 from __future__ import annotations
 
 import json
+import os
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,9 +23,11 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from aprisco.llm.blocks import blocks
+
 TABLE_ENTRIES = 30_000  # of at most TABLE_BYTES bytes each, which bounds the broadcast
 TABLE_BYTES = 32
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 CACHED_CHARS = 64  # longer pre-tokens are encoded each time
 
 
@@ -32,6 +35,7 @@ class Counter_:
     """Counts tokens of texts for a byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str, frequent: dict[str, int]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would only take memory
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -50,7 +54,11 @@ class Counter_:
         return [t for part in parts for t in self.split(part)], len(parts) - 1
 
     def lengths(self, missing: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch(missing, add_special_tokens=False)]
+        out: list[int] = []
+        for at in range(0, len(missing), 1024):  # encodings are large, so few at a time
+            part = self.tokenizer.encode_batch(missing[at : at + 1024], add_special_tokens=False)
+            out += [len(e.ids) for e in part]
+        return out
 
     def count(self, texts: list[str]) -> list[int]:
         """Unknown pre-tokens of all these texts are encoded in one call."""
@@ -88,7 +96,7 @@ def frequent_lengths(docs: DataFrame, path: str, fit_rows: int = 4_000) -> dict[
     return dict(zip(top, counter.lengths(top)))
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = 512, sub_rows: int = 256) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, limit: int = 512, sub_bytes: int = 1 << 19) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
     own = docs.select("doc_id", "text")
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(own, path))
@@ -96,8 +104,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, sub_rows: int = 2
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter_(path, table.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, sub_rows):
-                part = batch.slice(at, sub_rows)
+            for part in blocks(batch, "text", sub_bytes):
                 texts = pc.fill_null(part.column("text"), "")
                 counts = np.array(counter.count(texts.to_pylist()), np.int64)
                 yield pa.RecordBatch.from_arrays(
