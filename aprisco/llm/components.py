@@ -20,7 +20,16 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             least.select(F.col("u").alias("a"), F.col("m").alias("b"))
         )
-    return moved.where("a <> b").distinct()
+    return moved.where("a <> b")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or joined to one centre only."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("n")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("n"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("n").alias("joined"), F.min("n").alias("least"))
+    return seen.where("joined > 1 or (joined = 1 and least = 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -31,13 +40,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     node. Each round is stored, so a lost executor costs a task; a centre with very many
     neighbours is a skewed join that adaptive execution splits.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, seen = cut_lineage(edges), None
-    while True:
-        edges = cut_lineage(_stars(_stars(edges, large=True), large=False))
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if state == seen:
-            break
-        seen = state
+    edges = cut_lineage(
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+    while not _are_stars(edges):
+        edges = cut_lineage(_stars(_stars(edges, large=True), large=False).distinct())
     centres = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(centres)

@@ -4,7 +4,7 @@
 2. SuperMinHash signatures are cut into bands. All nodes that share a band with a bucket's
    smallest node form a candidate cluster with it, so two nodes that share any band are in one.
 3. Inside a cluster all sets meet in blocks of bounded size, where intersections are counted
-   exactly and only a spanning forest of the true links leaves the task. Clusters of one block
+   exactly, and a task returns for each set one link to the smallest set of its group found there. Clusters of one block
    are done then. Larger ones are contracted first (blocks, then one set of each group found), and
    what is still apart meets in pairs of blocks; two blocks of one group found never meet, so a
    large group of close copies costs in proportion to its size.
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aprisco.llm.blocks import Texts, blocks
@@ -112,26 +113,29 @@ def intersections(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return shared
 
 
-def forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links."""
-    left, edges = np.ones(len(near), bool), []
+def groups_of(near: np.ndarray) -> list[int]:
+    """For each set the first one that is linked to it over any number of links."""
+    first = [-1] * len(near)
+    left = np.ones(len(near), bool)
     for root in range(len(near)):
         if left[root]:
             left[root], front = False, [root]
             while front:
                 at = front.pop()
-                for to in np.flatnonzero(near[at] & left):
-                    left[to] = False
-                    front.append(int(to))
-                    edges.append((at, int(to)))
-    return edges
+                first[at] = root
+                new = np.flatnonzero(near[at] & left)
+                left[new] = False
+                front += new.tolist()
+    return first
 
 
 def links_within(rows: DataFrame, group: list[str], percent: int) -> DataFrame:
-    """Spanning forests (a, b) of the true links among the sets of each group of rows."""
+    """Among the sets of each group of rows: ``a`` with the smallest ``b`` it is connected to by
+    true links, where that is another one."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+        order = pc.sort_indices(table.column("set_id"))
+        table = table.take(order).combine_chunks()
         ids, sizes = table.column("set_id").to_pylist(), table.column("n").to_numpy()
         edges: list[tuple[int, int]] = []
         if len(ids) > 1:
@@ -139,8 +143,7 @@ def links_within(rows: DataFrame, group: list[str], percent: int) -> DataFrame:
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             both = np.rint(intersections(values, offsets)).astype(np.int64)
             near = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-            np.fill_diagonal(near, False)
-            edges = forest(near)
+            edges = [(i, root) for i, root in enumerate(groups_of(near)) if i != root]
         return pa.table(
             {"a": pa.array([ids[i] for i, _ in edges], pa.binary()), "b": pa.array([ids[j] for _, j in edges], pa.binary())}
         )
@@ -186,20 +189,19 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
     if large.select("cluster").isEmpty():
         return links
 
-    def grouped(edges: DataFrame) -> DataFrame:
-        """The sets of large clusters and the smallest set of the group found so far."""
-        found = connected_components(edges).withColumnRenamed("node", "set_id")
-        joined = large.select("cluster", "set_id", "n", "parts").join(found, "set_id", "left")
-        return joined.withColumn("component", F.coalesce("component", "set_id"))
-
-    leaders = grouped(links).where("set_id = component").select("set_id")
-    met = large.join(leaders, "set_id")
+    # A set is in one block, so what its links lead to needs no search: a leader or itself.
+    leads = links.withColumnsRenamed({"a": "set_id", "b": "leader"})
+    met = large.join(leads, "set_id", "left_anti")
     met_sizes = met.groupBy("cluster").agg(F.sum(weight()).alias("__total")).withColumn("fewer", parts_for("__total"))
     met = met.join(met_sizes, "cluster").withColumn("block", salt("fewer", "set_id"))
-    links = cut_lineage(links.unionByName(links_within(met, ["cluster", "block"], percent)))
+    further = cut_lineage(links_within(met, ["cluster", "block"], percent))
+    links = links.unionByName(further)
+    state = large.select("cluster", "set_id", "n", "parts").join(leads, "set_id", "left")
+    state = state.withColumn("leader", F.coalesce("leader", "set_id"))
+    state = state.join(further.withColumnsRenamed({"a": "leader", "b": "component"}), "leader", "left")
+    state = cut_lineage(state.withColumn("component", F.coalesce("component", "leader")).drop("leader"))
 
     # A group found that fills a block has blocks of its own; the others share blocks.
-    state = cut_lineage(grouped(links))
     filled = state.groupBy("cluster", "component").agg(F.sum(weight()).alias("__total"))
     filled = filled.withColumn("own", F.when(F.col("__total") >= BLOCK_SHINGLES, parts_for("__total"))).drop("__total")
     placed = state.join(filled, ["cluster", "component"]).select(
@@ -213,7 +215,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
     pairs = left.join(right, "cluster").where("l1 <= l2 and not (of1 is not null and of1 <=> of2)")
     sides = pairs.select("cluster", "l1", "l2", F.explode(F.array_distinct(F.array("l1", "l2"))).alias("label"))
     meeting = placed.join(sides, ["cluster", "label"]).join(large.select("set_id", "n", "shingles"), "set_id")
-    return cut_lineage(links.unionByName(links_within(meeting, ["cluster", "l1", "l2"], percent)))
+    return links.unionByName(links_within(meeting, ["cluster", "l1", "l2"], percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
