@@ -28,6 +28,7 @@ from aprisco.llm.blocks import blocks
 TABLE_ENTRIES = 30_000  # of at most TABLE_BYTES bytes each, which bounds the broadcast
 TABLE_BYTES = 32
 CACHE_ENTRIES = 200_000
+SEEN = pa.schema([("token", pa.string()), ("n", pa.int64())])
 CACHED_CHARS = 64  # longer pre-tokens are encoded each time
 
 
@@ -44,6 +45,7 @@ class Counter_:
         self.tokenizer = Tokenizer.from_file(path)
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.special = regex.compile("|".join(map(regex.escape, added))) if added else None
+        self.plain = regex.compile(r" \p{L}+").fullmatch
         self.frequent, self.cache = frequent, {}
 
     def pretokens(self, text: str) -> tuple[list[str], int]:
@@ -54,11 +56,20 @@ class Counter_:
         return [t for part in parts for t in self.split(part)], len(parts) - 1
 
     def lengths(self, missing: list[str]) -> list[int]:
-        out: list[int] = []
-        for at in range(0, len(missing), 1024):  # encodings are large, so few at a time
-            part = self.tokenizer.encode_batch(missing[at : at + 1024], add_special_tokens=False)
-            out += [len(e.ids) for e in part]
-        return out
+        """Tokens of each pre-token. Those of a space and letters end where the next one begins,
+        so they are encoded as running text, and the library tells which word a token is of."""
+        found: dict[str, int] = {}
+        plain = [t for t in missing if self.plain(t)]
+        for at in range(0, len(plain), 2048):
+            part = plain[at : at + 2048]
+            counts = np.bincount(np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).word_ids))
+            if len(counts) == len(part):
+                found.update(zip(part, counts.tolist()))
+        rest = [t for t in missing if t not in found]
+        for at in range(0, len(rest), 1024):  # encodings are large, so few at a time
+            part = rest[at : at + 1024]
+            found.update(zip(part, (len(e.ids) for e in self.tokenizer.encode_batch(part, add_special_tokens=False))))
+        return [found[t] for t in missing]
 
     def count(self, texts: list[str]) -> list[int]:
         """Unknown pre-tokens of all these texts are encoded in one call."""
@@ -82,18 +93,25 @@ class Counter_:
         return totals
 
 
-def frequent_lengths(docs: DataFrame, path: str, fit_rows: int = 4_000) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens in a bounded sample (the rows with the smallest
-    hash of their id): a speed-up only, so the sample leaves no trace in the counts."""
-    rows = docs.where("text is not null").select("doc_id", "text")
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select(
-        F.substring("text", 1, 4_000).alias("text")
-    )
-    counter, seen = Counter_(path, {}), Counter()
-    for r in sample.toLocalIterator():
-        seen.update(counter.pretokens(r["text"])[0])
-    top = [t for t, _ in seen.most_common(TABLE_ENTRIES) if len(t.encode()) <= TABLE_BYTES]
-    return dict(zip(top, counter.lengths(top)))
+def frequent_lengths(docs: DataFrame, path: str, fit_rows: int = 20_000, per_task: int = 5_000) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens in a sample of about ``fit_rows`` rows, drawn by
+    the hash of their id: a speed-up only, so neither the sample nor the ``per_task`` most frequent
+    ones that a task reports leave a trace in the counts."""
+    share = min(1.0, fit_rows / max(docs.count(), 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, seen = Counter_(path, {}), Counter()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                seen.update(counter.pretokens(text)[0])
+        top = [(t, n) for t, n in seen.most_common(per_task) if len(t.encode()) <= TABLE_BYTES]
+        yield pa.RecordBatch.from_pydict({"token": [t for t, _ in top], "n": [n for _, n in top]}, SEEN)
+
+    counts = docs.where("text is not null").where(drawn).select("text").mapInArrow(run, "token string, n long")
+    most = counts.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(TABLE_ENTRIES)
+    top = [r["token"] for r in most.collect()]
+    return dict(zip(top, Counter_(path, {}).lengths(top)))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, sub_bytes: int = 1 << 19) -> DataFrame:
