@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aprisco.llm import fmindex, neardup, quality, sharding, suffixes, tokens
+from aprisco.llm import decontaminate, fmindex, neardup, oracles, quality, sharding, suffixes, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -62,6 +62,10 @@ def op8_two_tier_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_benchmark_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -70,9 +74,14 @@ def shipped(query: Query) -> Query:
     return run
 
 
-NATIVE: tuple[Query, ...] = (op1_hypergeometric_shards,)
+NATIVE: tuple[Query, ...] = (op1_hypergeometric_shards, op10_benchmark_grams)
 WITH_PYTHON: tuple[Query, ...] = (
     op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
 )
 QUERIES: dict[str, Query] = {q.__name__: q for q in NATIVE} | {q.__name__: shipped(q) for q in WITH_PYTHON}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_fm_index": oracles.OP4,
+    "op5_deep_shallow": oracles.OP5,
+    "op6_superminhash": oracles.OP6,
+    "op10_benchmark_grams": oracles.OP10,
+}
