@@ -36,32 +36,37 @@ def folded_words(text: Column) -> Column:
     return words(F.lower(text))
 
 
-def joined_hashes(left: Column, right: Column, by: int) -> Column:
-    """Hashes of longer windows: each left window with the right one that begins ``by`` later."""
-    n = F.greatest(F.least(F.size(left), F.size(right) - by), F.lit(0))
+def joined_hashes(left: Column, right: Column, by: int, length: int) -> Column:
+    """Hashes of windows of ``length`` words: each left window, of ``by`` words, with the right
+    one that begins where it ends. ``__n`` is the number of words."""
+    n = F.greatest(F.col("__n") - (length - 1), F.lit(0))
     return F.zip_with(F.slice(left, 1, n), F.slice(right, by + 1, n), lambda a, b: F.xxhash64(a, b))
 
 
 def with_hashes(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
     """``hashes``: for each window length the hashes of all windows, from an array ``words``."""
-    df = df.select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("__h1"))
+    df = df.select(*keep, F.size("words").alias("__n"), F.transform("words", lambda w: F.xxhash64(w)).alias("__h1"))
     powers = [1 << i for i in range(max(lengths, default=1).bit_length())]
     for half in powers[:-1]:
-        df = df.withColumn(f"__h{2 * half}", joined_hashes(F.col(f"__h{half}"), F.col(f"__h{half}"), half))
+        both = joined_hashes(F.col(f"__h{half}"), F.col(f"__h{half}"), half, 2 * half)
+        df = df.withColumn(f"__h{2 * half}", both)
     arrays = []
     for length in lengths:
         parts = [p for p in reversed(powers) if length & p]
         column, done = F.col(f"__h{parts[0]}"), parts[0]
         for part in parts[1:]:
-            column, done = joined_hashes(column, F.col(f"__h{part}"), done), done + part
+            column = joined_hashes(column, F.col(f"__h{part}"), done, done + part)
+            done += part
         arrays.append(F.struct(F.lit(length).alias("length"), column.alias("windows")))
     return df.select(*keep, F.array(*arrays).alias("hashes"))
 
 
 def windows(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
-    """A row per window: its length, place and hash."""
-    each = with_hashes(df, lengths, *keep).select(*keep, F.explode("hashes").alias("h"))
-    return each.select(*keep, F.col("h.length").alias("length"), F.posexplode("h.windows").alias("place", "hash"))
+    """A row per window: its length, place and hash (null for a text without windows; the outer
+    form spares a filter into which Spark would copy the whole expression)."""
+    each = with_hashes(df, lengths, *keep).select(*keep, F.explode_outer("hashes").alias("h"))
+    each = each.select(*keep, F.col("h.length").alias("length"), F.col("h.windows").alias("windows"))
+    return each.select(*keep, "length", F.posexplode_outer("windows").alias("place", "hash"))
 
 
 def benchmark_grams(benchmark: DataFrame, n: int) -> tuple[DataFrame, list[int]]:
@@ -78,7 +83,7 @@ def benchmark_grams(benchmark: DataFrame, n: int) -> tuple[DataFrame, list[int]]
         empty = items.select("length", F.lit("").alias("gram"), F.lit(0).cast("long").alias("hash"), F.array("item_id").alias("items"))
         return empty, lengths
     rows = windows(items.withColumnRenamed("length", "own"), lengths, "item_id", "exact", "own")
-    rows = rows.where("own = length").withColumn("gram", F.array_join(F.slice("exact", F.col("place") + 1, F.col("length")), " "))
+    rows = rows.where("own = length and hash is not null").withColumn("gram", F.array_join(F.slice("exact", F.col("place") + 1, F.col("length")), " "))
     return cut_lineage(rows.groupBy("length", "gram", "hash").agg(F.collect_set("item_id").alias("items"))), lengths
 
 
