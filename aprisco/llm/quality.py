@@ -195,12 +195,13 @@ def fit_quality(
     trees: int = 100,
     bins: int = 4096,
 ) -> QualityModel:
-    """Forest from at most ``fit_rows`` labelled documents (those with the smallest hash of their
-    id); threshold from all labelled ones, by a histogram of their scores. ``statistics`` should
+    """Forest from about ``fit_rows`` labelled documents at most, drawn by the hash of their id; threshold from all labelled ones, by a histogram of their scores. ``statistics`` should
     be a stored table, as it is read twice."""
     labelled = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality is not null")
     rows = statistics.join(labelled, "doc_id")
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(fit_rows).select(*COUNTS).toPandas()
+    share = min(1.0, fit_rows / max(rows.count(), 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
+    sample = rows.where(drawn).select(*COUNTS).toPandas().sort_values(list(COUNTS))
     if len(sample) < 2:
         return QualityModel(None, 2.0)
     forest = Forest.grow(features({c: sample[c].to_numpy() for c in COUNTS}), trees)

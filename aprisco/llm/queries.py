@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aprisco.llm import decontaminate, fmindex, neardup, oracles, quality, sharding, suffixes, tokens
+from aprisco.llm import decontaminate, fmindex, mixing, neardup, oracles, pii, quality, sharding, suffixes, tokens, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -38,6 +38,14 @@ def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_soft_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.soft_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fmindex.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
@@ -62,6 +70,10 @@ def op8_two_tier_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_language_model_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_benchmark_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -74,11 +86,13 @@ def shipped(query: Query) -> Query:
     return run
 
 
-NATIVE: tuple[Query, ...] = (op1_hypergeometric_shards, op10_benchmark_grams)
+PLAIN: tuple[Query, ...] = (
+    op1_hypergeometric_shards, op2_boosted_candidates, op9_language_model_ratio, op10_benchmark_grams,
+)
 WITH_PYTHON: tuple[Query, ...] = (
-    op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
+    op3_soft_membership, op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
 )
-QUERIES: dict[str, Query] = {q.__name__: q for q in NATIVE} | {q.__name__: shipped(q) for q in WITH_PYTHON}
+QUERIES: dict[str, Query] = {q.__name__: q for q in PLAIN} | {q.__name__: shipped(q) for q in WITH_PYTHON}
 ORACLES: dict[str, str] = {
     "op4_fm_index": oracles.OP4,
     "op5_deep_shallow": oracles.OP5,

@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents to shards, stage by stage."""
+"""The corpus pipeline: quality rules, near-dedup, decontamination, mixing, sharding.
+
+Every stage works on all rows that the one before it kept and returns the columns of documents;
+the last adds ``shard`` and ``slot``. Rows repeat after mixing where a rate is above one.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aprisco.llm import neardup, quality, queries, sharding
+from aprisco.llm import decontaminate, mixing, neardup, quality, queries, sharding
 from aprisco.sources.shared import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,17 +23,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group that shares 80 % of its five-word shingles over links."""
     queries.ship(spark)
     return neardup.keep_one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with less than 5 % of their words inside n-grams of the benchmark."""
+    return decontaminate.drop_contaminated(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
+def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the rates say that meet the domains' target weights."""
+    queries.ship(spark)
+    return mixing.mix(docs, queries.table(spark, sf_dir, "labels"))
+
+
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with their shard and slot."""
     return sharding.shard_uniformly(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("shards", shards)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", target_weights),
+    ("shards", shards),
+]
 
 #: Trained models and random draws are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
