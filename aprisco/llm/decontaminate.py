@@ -3,8 +3,8 @@
 The benchmark's word n-grams, normalised, become a set of hashes that is broadcast when its
 counted size is below ``broadcast_rows`` (Spark shuffles the join otherwise). Every document's
 words are hashed once, window hashes are put together by doubling, and each window looks itself
-up. Documents with a hit are then read against the n-grams' words, so that no hash decides, and
-the words inside occurring n-grams are counted once each.
+up by one hash; a second, independent one verifies the hit, 128 bits in all. So texts are read
+and never shuffled. The words inside occurring n-grams are counted once each.
 
 Defined results: null, empty and word-less texts have no words, no hits, and are clean. A benchmark
 row without words has no n-gram; one with fewer words than ``n`` is one n-gram; one without an id
@@ -23,29 +23,22 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
-
-
-def exact_words(text: Column) -> Column:
     """Words with A-Z lower-cased and nothing else."""
-    return words(F.translate(text, UPPER, LOWER))
-
-
-def folded_words(text: Column) -> Column:
-    """Words of the fully lower-cased text: cheaper, and equal wherever the exact words are."""
-    return words(F.lower(text))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS), "")
 
 
 def joined_hashes(left: Column, right: Column, by: int, length: int) -> Column:
     """Hashes of windows of ``length`` words: each left window, of ``by`` words, with the right
     one that begins where it ends. ``__n`` is the number of words."""
     n = F.greatest(F.col("__n") - (length - 1), F.lit(0))
-    return F.zip_with(F.slice(left, 1, n), F.slice(right, by + 1, n), lambda a, b: F.xxhash64(a, b))
+    both = lambda a, b: F.struct(F.xxhash64(a["h"], b["h"]).alias("h"), F.xxhash64(b["g"], a["g"]).alias("g"))
+    return F.zip_with(F.slice(left, 1, n), F.slice(right, by + 1, n), both)
 
 
 def with_hashes(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
-    """``hashes``: for each window length the hashes of all windows, from an array ``words``."""
-    df = df.select(*keep, F.size("words").alias("__n"), F.transform("words", lambda w: F.xxhash64(w)).alias("__h1"))
+    """``hashes``: for each window length the two hashes of all windows, from an array ``words``."""
+    pair = lambda w: F.struct(F.xxhash64(w).alias("h"), F.xxhash64(F.lit(1), w).alias("g"))
+    df = df.select(*keep, F.size("words").alias("__n"), F.transform("words", pair).alias("__h1"))
     powers = [1 << i for i in range(max(lengths, default=1).bit_length())]
     for half in powers[:-1]:
         both = joined_hashes(F.col(f"__h{half}"), F.col(f"__h{half}"), half, 2 * half)
@@ -62,29 +55,23 @@ def with_hashes(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
 
 
 def windows(df: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
-    """A row per window: its length, place and hash (null for a text without windows; the outer
+    """A row per window: its length, place and hashes (null for a text without windows; the outer
     form spares a filter into which Spark would copy the whole expression)."""
-    each = with_hashes(df, lengths, *keep).select(*keep, F.explode_outer("hashes").alias("h"))
-    each = each.select(*keep, F.col("h.length").alias("length"), F.col("h.windows").alias("windows"))
-    return each.select(*keep, "length", F.posexplode_outer("windows").alias("place", "hash"))
+    each = with_hashes(df, lengths, *keep).select(*keep, F.explode_outer("hashes").alias("w"))
+    each = each.select(*keep, F.col("w.length").alias("length"), F.col("w.windows").alias("windows"))
+    each = each.select(*keep, "length", F.posexplode_outer("windows").alias("place", "hash"))
+    return each.select(*keep, "length", "place", "hash.h", "hash.g")
 
 
 def benchmark_grams(benchmark: DataFrame, n: int) -> tuple[DataFrame, list[int]]:
-    """Distinct n-grams (length, gram, hash, items), and the lengths there are (at most n)."""
-    items = benchmark.select(
-        F.col("item_id").cast("string").alias("item_id"),
-        exact_words(F.col("text")).alias("exact"),
-        folded_words(F.col("text")).alias("words"),
-    ).where("size(exact) > 0")
-    items = items.withColumn("length", F.least(F.size("exact"), F.lit(n)))
-    items = cut_lineage(items)
-    lengths = sorted(r["length"] for r in items.select("length").distinct().collect())
+    """Distinct n-grams (length, h, g, items), and the lengths there are (at most n)."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("words"))
+    items = cut_lineage(items.where("size(words) > 0").withColumn("own", F.least(F.size("words"), F.lit(n))))
+    lengths = sorted(r["own"] for r in items.select("own").distinct().collect())
     if not lengths:
-        empty = items.select("length", F.lit("").alias("gram"), F.lit(0).cast("long").alias("hash"), F.array("item_id").alias("items"))
-        return empty, lengths
-    rows = windows(items.withColumnRenamed("length", "own"), lengths, "item_id", "exact", "own")
-    rows = rows.where("own = length and hash is not null").withColumn("gram", F.array_join(F.slice("exact", F.col("place") + 1, F.col("length")), " "))
-    return cut_lineage(rows.groupBy("length", "gram", "hash").agg(F.collect_set("item_id").alias("items"))), lengths
+        return items, lengths
+    rows = windows(items, lengths, "item_id", "own").where("own = length and h is not null")
+    return cut_lineage(rows.groupBy("length", "h", "g").agg(F.collect_set("item_id").alias("items"))), lengths
 
 
 def contamination(
@@ -93,36 +80,29 @@ def contamination(
     """Per document: __uid (tells rows with one id apart), doc_id, n_words, n_hit, items (sorted
     as strings), contaminated: at least ``percent`` of the words are in n-grams of the benchmark."""
     grams, lengths = benchmark_grams(benchmark, n)
-    own = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("__uid"))
-    counted = own.select("__uid", "doc_id", F.size(folded_words(F.col("text"))).cast("long").alias("n_words"))
+    uid = F.xxhash64("doc_id", "text").alias("__uid")
+    own = docs.select(uid, "doc_id", words(F.col("text")).alias("words"))
+    counted = own.select("__uid", "doc_id", F.size("words").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     if not lengths:
         return counted.select(
             "*", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated")
         )
-    keys = grams.select("length", "hash").distinct()
     if grams.count() <= broadcast_rows:
-        keys, grams = F.broadcast(keys), F.broadcast(grams)
-    scanned = windows(own.select("__uid", "doc_id", folded_words(F.col("text")).alias("words")), lengths, "__uid", "doc_id")
-    hits = scanned.join(keys, ["length", "hash"]).groupBy(F.col("__uid").alias("u"), F.col("doc_id").alias("d"))
-    hits = cut_lineage(hits.agg(F.collect_set(F.struct("place", "length")).alias("places")))
-
-    same = (F.col("__uid") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("d"))
-    texts = own.join(hits, same).dropDuplicates(["__uid", "doc_id"])
-    spans = texts.select("__uid", "doc_id", exact_words(F.col("text")).alias("words"), F.explode("places").alias("at"))
-    spans = spans.select(
-        "__uid", "doc_id", "at", F.col("at.length").alias("length"),
-        F.array_join(F.slice("words", F.col("at.place") + 1, F.col("at.length")), " ").alias("gram"),
-    ).join(grams.drop("hash"), ["length", "gram"])
+        grams = F.broadcast(grams)
+    hits = windows(own, lengths, "__uid", "doc_id").join(grams, ["length", "h", "g"])
+    found = hits.groupBy(F.col("__uid").alias("u"), F.col("doc_id").alias("d")).agg(
+        F.collect_set(F.struct("place", "length")).alias("places"), F.collect_set("items").alias("items")
+    )
     inside = F.flatten(F.transform("places", lambda s: F.sequence(s["place"], s["place"] + s["length"] - 1)))
-    verified = spans.groupBy(F.col("__uid").alias("u"), F.col("doc_id").alias("d")).agg(
-        F.collect_set("at").alias("places"), F.collect_set("items").alias("items")
+    found = cut_lineage(
+        found.select(
+            "u", "d", F.size(F.array_distinct(inside)).cast("long").alias("n_hit"),
+            F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"),
+        )
     )
-    verified = verified.select(
-        "u", "d", F.size(F.array_distinct(inside)).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten("items"))).alias("items"),
-    )
-    joined = counted.join(cut_lineage(verified), same, "left").select(
+    same = (F.col("__uid") == F.col("u")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    joined = counted.join(found, same, "left").select(
         "__uid", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items")
     )
     return joined.withColumn("contaminated", F.expr(f"n_hit > 0 and 100 * n_hit >= {percent} * n_words"))
