@@ -2,8 +2,9 @@
 
 The rule statistics of every document come from one pass. An isolation forest (random splits on
 random subsamples; short paths mean odd documents) is grown on the statistics of a bounded number
-of labelled documents, and the score above which a document goes is calibrated on all of them: it
-is the lowest one that rejects no more than ``max_good_loss`` of the labelled good documents.
+of labelled documents, and the score above which a document goes is calibrated on all of them:
+from the lowest one that rejects no more than ``max_good_loss`` of the labelled good documents,
+and ten others for each of these, halfway up to where 95 % of those others still lie above.
 
 Defined results: a null text has no words and fails the base rules, as an empty one does. A text
 of any length is judged whole. Repeated rows get equal verdicts. Without labelled rows there is
@@ -227,7 +228,12 @@ def fit_quality(
     good_above, bad_above = (np.cumsum(v[::-1])[::-1] for v in (good, bad))
     allowed = (good_above <= max_good_loss * good.sum()) & (bad_above > 10 * good_above)
     found = np.flatnonzero(allowed)
-    return QualityModel(forest, float(found[0] / bins) if len(found) else 2.0)
+    if not len(found):
+        return QualityModel(forest, 2.0)
+    # Where nearly as many of the others lie higher up, the border goes halfway to them
+    low = int(found[0])
+    high = int(np.flatnonzero(bad_above >= 0.95 * bad_above[low])[-1])
+    return QualityModel(forest, (low + max(low, high)) / 2 / bins)
 
 
 def judge_statistics(statistics: DataFrame, model: QualityModel) -> DataFrame:
