@@ -8,8 +8,8 @@ the search knows, for every word, the suffixes that match it over the threshold,
 words at which one of them lies in a document with a smaller id.
 
 Defined results: null, empty and word-less texts have no words and lose none. Texts are judged
-whole. Rows with one id never remove words of each other, be they equal or not. Ids must not be
-null for rows that are to be compared: a null id is smaller than none. Other columns play no part.
+whole. Rows with one id never remove words of each other, be they equal or not. A row without an
+id is compared with no other and loses nothing. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -148,7 +148,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
         ids = np.unique(table.column("least").to_numpy(zero_copy_only=False), return_inverse=True)[1]
         return [ranges_of(hit) for hit in FMIndex(words, ids, window).stream(words, ids)]
 
-    found = repeated_windows(own, word_symbols, judge, window, min(GRAM, window), earlier=True, dtype=np.uint64)
+    found = repeated_windows(own.where("doc_id is not null"), word_symbols, judge, window, min(GRAM, window), earlier=True, dtype=np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

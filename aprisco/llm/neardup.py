@@ -15,8 +15,9 @@ s = 0.8, and less above. Nothing is capped: buckets and clusters may have any si
 
 Defined results: null, empty and word-less texts have the empty set and are linked with nothing.
 A text of fewer words than a shingle has one shingle, all its words. Texts of any length are
-compared whole. Repeated rows are one group; an id with several texts is judged row by row. Other
-columns play no part, whatever they are called.
+compared whole. Repeated rows are one group; an id with several texts is judged row by row. A
+group's component_id is its smallest id that is not null. Other columns play no part, whatever
+they are called.
 """
 
 from __future__ import annotations
@@ -180,7 +181,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
     sizes = weighed.groupBy("cluster").agg(F.sum(weight()).alias("total")).withColumn("parts", parts_for("total"))
     # A document of each node: the one with the smallest id
     wanted = clusters.join(nodes.select("set_id", "doc_id"), "set_id")
-    chosen = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    wanted = wanted.select(F.col("doc_id").alias("d")).distinct()
+    chosen = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["d"]), "left_semi")
     sets = cut_lineage(
         full_sets(chosen, width).dropDuplicates(["set_id"]).join(clusters, "set_id").join(sizes, "cluster")
     )
@@ -236,12 +238,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         found.select("doc_id", "n_shingles", "set_id")
         .join(by_set, "set_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id") == F.col("component_id"))
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents that stay, with all their columns: the smallest id of each group, once."""
     kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    stay = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
+    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
     return stay.dropDuplicates(["doc_id", "text"])

@@ -7,8 +7,8 @@ again. The result is a uniform permutation cut into shards of exact sizes.
 
 Defined results: an empty table gives no rows. Null or empty texts and repeated rows are rows like
 any other, so no key can be hot. Rows are numbered and written once, so a task that is run again
-deals the same rows in the same way. The added columns must not be in the table already; a clash
-raises ``ValueError``.
+deals the same rows in the same way. Columns that the table has already under the names of the
+added ones are replaced; all others are carried along, whatever they are called.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aprisco.sources.shared import cut_lineage
 
-ADDED = ("shard", "slot")
-BLOCK, RANK, KEY, BUCKET = "__block", "__rank", "__key", "__bucket"
 
 
 def draw_hypergeometric(rng: np.random.Generator, good: int, bad: int, drawn: int) -> int:
@@ -67,51 +65,54 @@ def shard_uniformly(
     """
     if n_shards < 1:
         raise ValueError("at least one shard is needed")
-    if clash := {c.lower() for c in docs.columns} & {*ADDED, BLOCK, RANK, KEY, BUCKET}:
-        raise ValueError(f"columns {sorted(clash)} are in the way")
+    docs = docs.drop("shard", "slot")
+    free = "_"  # of the names of working columns
+    while any(c.startswith(free) for c in docs.columns):
+        free += "_"
+    block_, rank_, key_, bucket_, upto_, first_ = (f"{free}{c}" for c in ("block", "rank", "key", "bucket", "upto", "first"))
     spark = docs.sparkSession
     ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     permuted = (
-        docs.withColumn(BLOCK, F.spark_partition_id())
-        .withColumn(KEY, F.rand(seed))
-        .sortWithinPartitions(KEY)
-        .withColumn(RANK, ordinal)
-        .drop(KEY)
+        docs.withColumn(block_, F.spark_partition_id())
+        .withColumn(key_, F.rand(seed))
+        .sortWithinPartitions(key_)
+        .withColumn(rank_, ordinal)
+        .drop(key_)
     )
     rows = cut_lineage(permuted)
 
-    counts = {r[BLOCK]: r["count"] for r in rows.groupBy(BLOCK).count().collect()}  # a row per task
+    counts = {r[block_]: r["count"] for r in rows.groupBy(block_).count().collect()}  # a row per task
     blocks, total = sorted(counts), sum(counts.values())
     sizes = [total // n_shards + (k < total % n_shards) for k in range(n_shards)]
     matrix = communication_matrix([counts[b] for b in blocks], sizes, seed)
     upto = [[int(x) for x in np.cumsum(sent)] for sent in matrix]
-    table = spark.createDataFrame(list(zip(blocks, upto)), f"{BLOCK} int, upto array<long>")
+    table = spark.createDataFrame(list(zip(blocks, upto)), f"{block_} int, {upto_} array<long>")
     buckets = max(1, -(-max(sizes) // rows_per_bucket))
 
     def place(df: DataFrame) -> DataFrame:
-        key: Column = F.xxhash64(F.lit(seed), BLOCK, RANK)
+        key: Column = F.xxhash64(F.lit(seed), block_, rank_)
         return (
-            df.join(table, BLOCK)
-            .withColumn("shard", F.size(F.filter("upto", lambda n: n <= F.col(RANK))))
-            .withColumn(KEY, key)
-            .withColumn(BUCKET, F.pmod(F.shiftrightunsigned(KEY, 20), F.lit(buckets)).cast("int"))
-            .drop("upto")
+            df.join(table, block_)
+            .withColumn("shard", F.size(F.filter(upto_, lambda n: n <= F.col(rank_))))
+            .withColumn(key_, key)
+            .withColumn(bucket_, F.pmod(F.shiftrightunsigned(key_, 20), F.lit(buckets)).cast("int"))
+            .drop(upto_)
         )
 
-    filled = place(rows.select(BLOCK, RANK)).groupBy("shard", BUCKET).count().collect()
+    filled = place(rows.select(block_, rank_)).groupBy("shard", bucket_).count().collect()
     before, offsets = {}, []  # at most shards x buckets rows, one for rows_per_bucket rows
-    for r in sorted(filled, key=lambda r: (r["shard"], r[BUCKET])):
+    for r in sorted(filled, key=lambda r: (r["shard"], r[bucket_])):
         at = before.get(r["shard"], 0)
-        offsets.append((r["shard"], r[BUCKET], at))
+        offsets.append((r["shard"], r[bucket_], at))
         before[r["shard"]] = at + r["count"]
-    first = spark.createDataFrame(offsets, f"shard int, {BUCKET} int, __first long")
-    within = Window.partitionBy("shard", BUCKET).orderBy(KEY, BLOCK, RANK)
+    first = spark.createDataFrame(offsets, f"shard int, {bucket_} int, {first_} long")
+    within = Window.partitionBy("shard", bucket_).orderBy(key_, block_, rank_)
     return (
         place(rows)
         .withColumn("slot", F.row_number().over(within).cast("long") - 1)
-        .join(first, ["shard", BUCKET])
-        .withColumn("slot", F.col("slot") + F.col("__first"))
-        .select(*docs.columns, "shard", "slot")
+        .join(first, ["shard", bucket_])
+        .withColumn("slot", F.col("slot") + F.col(first_))
+        .select(*(f"`{c}`" for c in docs.columns), "shard", "slot")
     )
 
 
