@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from aprisco.functions.columns import ceil_to_date
 from aprisco.operators.history import VALID_FROM, VALID_TO
 
-# Sentinels outside any business date: "before all history" and "still open".
-BEFORE = "date'0000-01-01'"
-OPEN = "date'9999-12-31'"
-
 
 def _timeline(
     versions: DataFrame,
@@ -28,17 +24,21 @@ def _timeline(
     Facts are dated to the day, so a version matters only through the first midnight it
     covers (``a``) and the first it no longer covers (``b``). Versions with equal (a, b)
     cover the same days and only the oldest of them can win, which leaves at most one row
-    per day and key for a regular history, however often a key changes within a day.
+    per day and key for a regular history, however often a key changes within a day. An open
+    version has no ``b``; one that never begins has no ``a``, covers no day and stands in no
+    other's way: it may only be the fallback.
 
     Among versions that cover a day the oldest wins. In order of age, a version therefore
-    wins exactly from the later of ``a`` and the largest ``b`` before it, up to ``b``.
+    wins exactly from the later of ``a`` and the largest ``b`` before it, up to ``b``, and
+    nothing wins after an older open version has begun.
     """
     payload = F.struct(*[F.col(src).alias(name) for src, name in attrs.items()])
     tie_break = F.col(version_id) if version_id else payload
     start = ceil_to_date(F.col(valid_from))
     # A version without a covered midnight keeps an empty stretch: it may still be the oldest.
-    end = F.coalesce(F.greatest(start, ceil_to_date(F.col(valid_to))), start)
-    end = F.when(F.col(valid_to).isNull(), F.expr(OPEN)).otherwise(end)
+    end = F.greatest(start, ceil_to_date(F.col(valid_to)))
+    begins, is_open = F.col(valid_from).isNotNull(), F.col(valid_to).isNull()
+    end = F.when(begins & ~is_open, end)
     version = F.struct(
         F.col(valid_from).alias("since"), tie_break.alias("tie"), payload.alias("attrs")
     )
@@ -46,21 +46,25 @@ def _timeline(
         versions.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("k"), start.alias("a"), end.alias("b"))
         .agg(F.min(version).alias("oldest"))
-        .select("k", "a", "b", "oldest.*")
+        .select("k", "a", "b", (F.col("a").isNotNull() & F.col("b").isNull()).alias("open"), "oldest.*")
     )
     by_age = Window.partitionBy("k").orderBy("since", "tie")
     older = by_age.rowsBetween(Window.unboundedPreceding, -1)
     ranked = distinct.select(
-        "k", "b", "since", "tie", "attrs",
-        F.greatest("a", F.max("b").over(older)).alias("from_day"),
+        "k", "b", "open", "since", "tie", "attrs",
+        F.when(F.col("a").isNotNull(), F.greatest("a", F.max("b").over(older))).alias("from_day"),
+        F.coalesce(F.max("open").over(older), F.lit(False)).alias("shut_out"),
         (F.row_number().over(by_age) == 1).alias("is_oldest"),
     )
-    entry = lambda day, until: F.struct(
-        day.alias("day"), F.struct(until.alias("until"), "since", "tie", "attrs").alias("v")
+    entry = lambda day, until, is_open: F.struct(
+        day.alias("day"),
+        F.struct(until.alias("until"), is_open.alias("open"), "since", "tie", "attrs").alias("v"),
     )
-    wins = F.when(F.col("from_day") < F.col("b"), entry(F.col("from_day"), F.col("b")))
+    covers = F.col("from_day").isNotNull() & (F.col("open") | (F.col("from_day") < F.col("b")))
+    wins = F.when(covers & ~F.col("shut_out"), entry(F.col("from_day"), F.col("b"), F.col("open")))
     # The oldest version also opens the timeline, as the fallback that covers no day.
-    fallback = F.when(F.col("is_oldest"), entry(F.expr(BEFORE), F.expr(BEFORE)))
+    no_day = F.lit(None).cast("date")
+    fallback = F.when(F.col("is_oldest"), entry(no_day, no_day, F.lit(False)))
     return ranked.select(
         "k", F.inline(F.filter(F.array(fallback, wins), lambda e: e.isNotNull()))
     )
@@ -99,16 +103,15 @@ def asof_version_join(
     timeline = _timeline(
         versions, version_key or key, attrs, valid_from, valid_to, version_id
     )
-    # A NULL date is in no interval: it is asked for before all history and falls back.
-    asked = F.coalesce(F.col(fact_date), F.expr(BEFORE))
+    # A NULL date is in no interval. It sorts before all history, as the fallback does.
     probes = (
         facts.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("k"), asked.alias("day"))
+        .groupBy(F.col(key).alias("k"), F.col(fact_date).alias("day"))
         .agg(F.lit(True).alias("is_probe"))
     )
-    walk = Window.partitionBy("k").orderBy("day", F.col("is_probe").asc_nulls_first())
+    walk = Window.partitionBy("k").orderBy(F.col("day").asc_nulls_first(), F.col("is_probe").asc_nulls_first())
     walk = walk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valid = F.col("day") < F.col("at.until")
+    valid = F.coalesce(F.col("at.open") | (F.col("day") < F.col("at.until")), F.lit(False))
     answer = (
         timeline.unionByName(probes, allowMissingColumns=True)
         .select(
@@ -124,7 +127,7 @@ def asof_version_join(
         )
     )
     joined = facts.join(
-        answer, (F.col(key) == F.col("__key")) & (asked == F.col("__asked")), "left"
+        answer, (F.col(key) == F.col("__key")) & F.col(fact_date).eqNullSafe(F.col("__asked")), "left"
     )
     if not unique_facts:
         best = Window.partitionBy(fact_id).orderBy(

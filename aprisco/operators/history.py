@@ -48,7 +48,8 @@ def snapshot_step(
     were closed earlier are not touched and need not be read. Rules: a new key opens a
     version, a changed tracked column (NULL-safe) closes the open version and opens another,
     and a key that vanished keeps its open version. Untracked columns stay as they were when
-    the version began.
+    the version began. A run that is older than an open version, or as old as one that it would
+    close, fails: it would end a version before its beginning.
 
     Both sides hold one row per key, so the outer join cannot meet a hot key.
     """
@@ -82,7 +83,11 @@ def snapshot_step(
 
     # One pass over the join: each key yields its old version, its new one, or both.
     closes = has_old & has_new & changed
-    kept = F.when(closes, F.col("__old").withField(VALID_TO, now)).when(has_old, F.col("__old"))
+    since = F.col(f"__old.{VALID_FROM}")
+    too_old = has_old & ((since > now) | (closes & (since >= now)))
+    fault = F.raise_error(F.lit(f"snapshot run {run_ts} is not later than an open version"))
+    kept = F.when(too_old, fault.cast(new.schema["__new"].dataType))
+    kept = kept.when(closes, F.col("__old").withField(VALID_TO, now)).when(has_old, F.col("__old"))
     opened = F.when(has_new & (~has_old | closes), F.col("__new"))
     rows = F.filter(F.array(kept, opened), lambda v: v.isNotNull())
     return old.join(new, "__k", "full").select(F.inline(rows))

@@ -35,7 +35,7 @@ def join_calendar(
 ) -> DataFrame:
     """Inner join with a calendar of one row per day; drops dates it does not cover.
 
-    The generator bounds a calendar to a few megabytes, so the optimizer broadcasts it.
+    As with any dimension, its size decides whether the optimizer broadcasts it.
     """
     return star_join(fact, calendar, fact_date, "fecha", columns)
 

@@ -6,7 +6,18 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from aprisco.sources.schemas import RAW_TABLES, raw_table
 from aprisco.sources.versions import complete_versions, write_next
@@ -19,9 +30,20 @@ class SchemaDrift(ValueError):
     """A raw table lacks a declared column or changed its type."""
 
 
+# Whole numbers by the digits they can have.
+WHOLE = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+
+
 def _compatible(declared: DataType, found: DataType) -> bool:
+    """Equal, or widened without loss."""
     if isinstance(declared, DecimalType):
+        if type(found) in WHOLE:
+            return WHOLE[type(found)] <= declared.precision - declared.scale
         return isinstance(found, DecimalType)
+    if type(declared) in WHOLE and type(found) in WHOLE:
+        return WHOLE[type(found)] <= WHOLE[type(declared)]
+    if isinstance(declared, DoubleType):
+        return isinstance(found, (DoubleType, FloatType, ByteType, ShortType, IntegerType))
     if isinstance(declared, TimestampNTZType):
         return isinstance(found, (TimestampNTZType, TimestampType))
     return declared == found

@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only on a single machine."""
+    """Folder named by ``spark.checkpoint.dir``; where none is, one in the session's warehouse.
+
+    A warehouse on the machine's own disk serves a session on a single machine only.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith(("file:", "/")) and not context.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="aprisco-"))
-    return context.getCheckpointDir()
+    return f"{warehouse.rstrip('/')}/shared"
+
+
+def new_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    folder = f"{shared_folder(spark)}/aprisco/{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)  # only what exists can be marked for deletion
+    files.deleteOnExit(hadoop)
+    return f"{folder}/data"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -26,6 +38,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Several readers then scan the columns they need instead of repeating the plan, and a lost
     executor costs no more than a task.
     """
-    path = f"{shared_folder(df.sparkSession)}/aprisco/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -49,6 +49,14 @@ def write_next(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> st
     return target
 
 
+def drop_partition(spark: SparkSession, versions: Sequence[str], name: str) -> None:
+    """Delete one partition of each of these versions, where they have it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for version in versions:
+        part = hadoop.Path(version, name)
+        part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
+
+
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the newest finished versions of a table and return what was deleted.
 
@@ -60,8 +68,9 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
         raise ValueError("at least the newest version is kept")
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = complete_versions(spark, path)[:-keep]
-    for version in old:
+    versions = complete_versions(spark, path)
+    old = versions[:-keep]
+    for version in versions:
         if fs.globStatus(hadoop.Path(version, "scd_state=*")):
             raise ValueError(f"{path} is a history; its versions belong together")
     for version in old:

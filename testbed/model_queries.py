@@ -172,13 +172,9 @@ RAW_CHECKS = {
 }
 
 
-def _on_tables(rules: Callable[[], list[Check]]) -> Callable[[], list[Check]]:
-    return lambda: [r for r in rules() if r.table != "dim_fecha"]
-
-
 SUITES = {
     "suite_staging": staging_checks,
-    "suite_marts": _on_tables(mart_checks),
+    "suite_marts": mart_checks,
     "suite_reporting": report_checks,
 }
 
@@ -203,9 +199,8 @@ def _stg(name: str) -> str:
     broken = {"palpamientos": "resultado", "pesaje_leche": "ordeno"}.get(name)
     if broken:
         fixed = (
-            f"replace(replace(replace(replace(replace({broken}, concat(chr(195), chr(177)), 'ñ'), "
-            "concat(chr(195), chr(173)), 'í'), concat(chr(195), chr(179)), 'ó'), "
-            "concat(chr(195), chr(169)), 'é'), concat(chr(195), chr(161)), 'á')"
+            f"replace(replace(replace(replace(replace({broken}, 'Ã±', 'ñ'), "
+            "concat('Ã', chr(173)), 'í'), 'Ã³', 'ó'), 'Ã©', 'é'), 'Ã¡', 'á')"
         )
         columns = columns.replace(broken, f"{fixed} AS {broken}", 1)
     if name == "animales":
@@ -219,7 +214,7 @@ def _stg(name: str) -> str:
         tests.append("finca_asociada NOT LIKE 'TEST-%'")
     elif raw.is_fact:
         tests.append(
-            "id_finca <> 'finca_trebol' AND id_finca <> 'test-verificacion-venta-leche-finanzas'"
+            "id_finca NOT IN ('finca_trebol', 'test-verificacion-venta-leche-finanzas')"
         )
     where = f" WHERE {' AND '.join(tests)}" if tests else ""
     return f"SELECT {columns} FROM {raw.table}{where}"
@@ -255,11 +250,13 @@ def _snapshot_sql(name: str) -> str:
 
 
 def calendar_sql(start: str, end_exclusive: str) -> str:
-    months = "Enero Febrero Marzo Abril Mayo Junio Julio Agosto Septiembre Octubre Noviembre Diciembre"
-    days = "Domingo Lunes Martes Miércoles Jueves Viernes Sábado"
+    months = [
+        "Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio",
+        "Julio", "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre",
+    ]
+    days = ["Domingo", "Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado"]
     pick = lambda expr, names: (
-        f"CASE {expr} " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names.split(), 1))
-        + " END"
+        f"CASE {expr} " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names, 1)) + " END"
     )
     weekday = "(CAST(dayofweek(d) AS INT) + 1)"
     return (
@@ -282,15 +279,15 @@ def _asof_sql() -> str:
         "presentacion": "insumo_presentacion_al_momento",
         "estado": "insumo_estado_al_momento",
     }
+    # Whole candidate rows are ranked: a valid version first, then the oldest.
+    shown = ", ".join(f"v.{c} AS {a}" for c, a in chosen.items())
     return (
-        "SELECT m.*, "
-        + ", ".join(f"coalesce(ok.{c}, old.{c}) AS {a}" for c, a in chosen.items())
-        + " FROM stg_movimientos_insumos m "
-        "LEFT JOIN snapshot_insumo ok ON ok.id_insumo = m.id_insumo "
-        "AND ok.dbt_valid_from <= m.fecha_movimiento "
-        "AND coalesce(ok.dbt_valid_to, TIMESTAMP '9999-12-31') > m.fecha_movimiento "
-        "LEFT JOIN (SELECT *, min(dbt_valid_from) OVER (PARTITION BY id_insumo) AS born "
-        "FROM snapshot_insumo) old ON old.id_insumo = m.id_insumo AND old.dbt_valid_from = old.born"
+        "SELECT * EXCLUDE (rn) FROM (SELECT m.*, " + shown + ", row_number() OVER ("
+        "PARTITION BY m.id_registro ORDER BY CASE WHEN v.dbt_valid_from <= m.fecha_movimiento "
+        "AND (v.dbt_valid_to IS NULL OR v.dbt_valid_to > m.fecha_movimiento) THEN 1 ELSE 2 END, "
+        "v.dbt_valid_from NULLS FIRST, v.dbt_scd_id NULLS FIRST) AS rn "
+        "FROM stg_movimientos_insumos m LEFT JOIN snapshot_insumo v ON v.id_insumo = m.id_insumo) "
+        "WHERE rn = 1"
     )
 
 

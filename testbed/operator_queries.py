@@ -98,13 +98,13 @@ def exclude_ids(spark, sf_dir):
 
 @query("""
 WITH d AS (SELECT doc_id, replace(replace(replace(replace(replace(text,
-  'ñ', concat(chr(195), chr(177))), 'í', concat(chr(195), chr(173))),
-  'ó', concat(chr(195), chr(179))), 'é', concat(chr(195), chr(169))),
-  'á', concat(chr(195), chr(161))) AS damaged FROM documents)
+  'ñ', 'Ã±'), 'í', concat('Ã', chr(173))),
+  'ó', 'Ã³'), 'é', 'Ã©'),
+  'á', 'Ã¡') AS damaged FROM documents)
 SELECT doc_id, damaged, replace(replace(replace(replace(replace(damaged,
-  concat(chr(195), chr(177)), 'ñ'), concat(chr(195), chr(173)), 'í'),
-  concat(chr(195), chr(179)), 'ó'), concat(chr(195), chr(169)), 'é'),
-  concat(chr(195), chr(161)), 'á') AS repaired FROM d
+  'Ã±', 'ñ'), concat('Ã', chr(173)), 'í'),
+  'Ã³', 'ó'), 'Ã©', 'é'),
+  'Ã¡', 'á') AS repaired FROM d
 """)
 def mojibake_repair(spark, sf_dir):
     """The texts are sound, so they are damaged first."""
@@ -423,6 +423,44 @@ def asof_overlapping(spark, sf_dir):
     )
 
 
+@query("""
+WITH v AS (SELECT o_custkey, o_orderkey,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+  CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderdate END AS valid_from,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate + INTERVAL 400 DAY END AS valid_to
+  FROM orders),
+f AS (SELECT c_custkey, CAST(CASE c_custkey % 5 WHEN 0 THEN DATE '9999-12-31' WHEN 1 THEN NULL
+  ELSE CAST('1996-01-01' AS DATE) + CAST(c_custkey * 37 % 2000 AS INT) END AS DATE) AS visit_day
+  FROM customer),
+c AS (SELECT f.*, v.o_orderpriority AS priority, v.o_orderkey AS version,
+  row_number() OVER (PARTITION BY c_custkey ORDER BY
+    CASE WHEN visit_day >= valid_from AND (visit_day < valid_to OR valid_to IS NULL) THEN 1 ELSE 2
+    END, valid_from NULLS FIRST, o_orderkey NULLS FIRST) AS rn
+  FROM f LEFT JOIN v ON c_custkey = o_custkey)
+SELECT c_custkey, visit_day, priority, version FROM c WHERE rn = 1
+""")
+def asof_odd_versions(spark, sf_dir):
+    """Versions without a start and without attributes, facts on the last date there is."""
+    key, start = F.col("o_orderkey"), F.col("o_orderdate")
+    versions = read(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey",
+        F.when(key % 9 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),
+        F.when(key % 4 != 0, start).alias("valid_from"),
+        F.when(key % 3 != 0, start + F.make_dt_interval(days=F.lit(400))).alias("valid_to"),
+    )
+    visitor = F.col("c_custkey")
+    day_ = F.date_add(F.lit(date(1996, 1, 1)), (visitor * 37 % 2000).cast("int"))
+    visits = read(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(visitor % 5 == 0, F.lit(date(9999, 12, 31))).when(visitor % 5 != 1, day_).alias("visit_day"),
+    )
+    return asof_version_join(
+        visits, versions, key="c_custkey", version_key="o_custkey", fact_date="visit_day",
+        fact_id="c_custkey", attrs={"o_orderpriority": "priority", "o_orderkey": "version"},
+        valid_from="valid_from", valid_to="valid_to", version_id="o_orderkey",
+    )
+
+
 # --- checks --------------------------------------------------------------------------------
 
 @query("""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,19 +17,15 @@ from aprisco.sources import (
     write_fact,
     write_table,
 )
-from aprisco.sources.shared import shared_folder
+from aprisco.sources.shared import new_path
 from testbed.farm_raw import raw_sql, raw_zone
 from testbed.model_queries import RUNS, relations_sql, warehouse, with_relations
 
 
-def _new_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/aprisco/{uuid.uuid4().hex}"
-
-
 def _fact(name: str, granularity: str) -> Callable[[SparkSession, str], DataFrame]:
     """A fact written by its business date, and read back."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        model, path = MODELS[name], _new_path(spark)
+        model, path = MODELS[name], new_path(spark)
         rows = warehouse(spark, sf_dir)[name]
         write_fact(rows, path, model.partition_date, model.cluster_by, granularity)
         return read_fact(spark, path, model.partition_date, schema=rows.schema)
@@ -39,26 +34,26 @@ def _fact(name: str, granularity: str) -> Callable[[SparkSession, str], DataFram
 
 
 def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_table(warehouse(spark, sf_dir)["dim_medicina"], _new_path(spark))
+    return write_table(warehouse(spark, sf_dir)["dim_medicina"], new_path(spark))
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs against a stored history, the second reading what the first wrote."""
-    w, path, spec = warehouse(spark, sf_dir), _new_path(spark), SNAPSHOTS["snapshot_animal"]
+    w, path, spec = warehouse(spark, sf_dir), new_path(spark), SNAPSHOTS["snapshot_animal"]
     for copy, run_ts in zip(w.copies("snapshot_animal"), RUNS, strict=True):
         history = run_snapshot(copy, path, spec.unique_key, spec.check_cols, run_ts)
     return history
 
 
 def _replica(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _new_path(spark)
+    root = new_path(spark)
     replicate(raw_zone(spark, sf_dir), root, ["pesaje_leche"])
     return RawZone.from_path(spark, root).table("pesaje_leche")
 
 
 def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a failed check leaves behind: lines that share an order and a number."""
-    path = _new_path(spark)
+    path = new_path(spark)
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     failing = unique(lines, "l_orderkey", "l_linenumber")
     append_failures(failing, path, "unique_lineitem", RUNS[0])

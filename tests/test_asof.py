@@ -30,6 +30,10 @@ GOLDEN = [
     ("overlap", "6", "younger", datetime(2026, 2, 1), None),
     ("within", "7", "morning", datetime(2026, 1, 1, 8), datetime(2026, 1, 1, 20)),
     ("within", "8", "evening", datetime(2026, 1, 1, 20), None),
+    ("unborn", "9", "bad", None, None),
+    ("unborn", "10", "good", datetime(2026, 1, 1), None),
+    ("unborn closed", "11", "bad", None, datetime(2027, 1, 1)),
+    ("unborn closed", "12", "good", datetime(2026, 1, 1), None),
 ]
 
 
@@ -45,6 +49,12 @@ GOLDEN = [
         ("closed", date(2026, 4, 1), "first"),  # after a closed last version: the oldest
         ("overlap", date(2026, 3, 1), "older"),
         ("overlap", date(2026, 5, 1), "younger"),
+        ("ins_test_a", date(9999, 12, 31), "Suplemento"),  # open has no last day
+        ("overlap", date(9999, 12, 31), "younger"),
+        ("unborn", date(2026, 3, 1), "good"),
+        ("unborn", date(2025, 3, 1), "bad"),  # no version covers it: the oldest
+        ("unborn", None, "bad"),
+        ("unborn closed", date(2026, 3, 1), "good"),
         ("within", date(2026, 1, 1), "morning"),  # no version covers this midnight
         ("within", date(2026, 1, 2), "evening"),
         ("unknown", date(2026, 1, 1), None),

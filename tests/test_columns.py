@@ -13,6 +13,7 @@ from aprisco.functions import (
     not_test_name,
     repair_mojibake,
 )
+from aprisco.operators import join_calendar
 
 
 def _values(spark, *values):
@@ -62,8 +63,19 @@ def test_calendar(spark):
     assert [m for m, s in seasons.items() if s == "Seca"] == [1, 2, 3, 4, 12]
 
 
-def test_calendar_is_bounded(spark):
-    with pytest.raises(ValueError):
-        date_dimension(spark, date(1, 1, 1), date(2020, 1, 1))
+def test_calendar_has_any_length_and_its_true_size(spark):
     with pytest.raises(ValueError):
         date_dimension(spark, date(2020, 1, 1), date(2020, 1, 1))
+    long = date_dimension(spark, date(1, 1, 1), date(2020, 1, 1))
+    assert long.count() == (date(2020, 1, 1) - date(1, 1, 1)).days
+    size = lambda df: int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert size(long) > 100 * size(date_dimension(spark)) > 1_000_000
+
+
+def test_long_calendar_is_not_broadcast(spark):
+    for end, broadcast in ((date(2021, 1, 1), True), (date(9000, 1, 1), False)):
+        calendar = date_dimension(spark, date(2020, 1, 1), end)
+        # Nothing but the calendar is small: the other side is a large range of days
+        days = spark.range(10**9).select(F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 9000).cast("int")).alias("day"))
+        plan = join_calendar(days, calendar, "day", list(calendar.columns[1:]))._jdf.queryExecution().executedPlan()
+        assert ("BroadcastExchange" in plan.toString()) is broadcast

@@ -138,3 +138,12 @@ def test_step_reads_only_open_versions(spark, rows):
     history = check_snapshot(None, _copy(spark, ("a", "x", 1)), "id", ["tracked"], T1)
     step = snapshot_step(history, _copy(spark, ("a", "y", 1)), "id", ["tracked"], T2)
     assert rows(step, "tracked", "dbt_valid_to") == [("x", T2), ("y", None)]
+
+
+def test_an_older_run_fails(spark):
+    history = check_snapshot(None, _copy(spark, ("a", "x", 1)), "id", ["tracked"], T2)
+    for run_ts, value in ((T1, "x"), (T1, "y"), (T2, "y")):
+        with pytest.raises(PySparkException, match="not later than an open version"):
+            check_snapshot(history, _copy(spark, ("a", value, 1)), "id", ["tracked"], run_ts).collect()
+    same = check_snapshot(history, _copy(spark, ("a", "x", 1)), "id", ["tracked"], T2)
+    assert same.count() == 1

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import os
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,7 +149,8 @@ def test_stored_history_equals_the_operator(spark, tmp_path, rows):
 def test_unfinished_run_is_invisible_and_is_replaced(spark, tmp_path, rows):
     path = str(tmp_path / "h")
     before = run_snapshot(_copy(spark, ("a", "x", 1)), path, "id", ["state"], RUNS[0])
-    run_snapshot(_copy(spark, ("a", "y", 1), ("b", "x", 1)), path, "id", ["state"], RUNS[1])
+    half = before.withColumn("scd_state", F.lit("open")).withColumn("state", F.lit("y"))
+    half.write.partitionBy("scd_state").parquet(f"{path}/table_version=00000002")
     os.remove(f"{path}/table_version=00000002/_SUCCESS")  # as if the job had died
     assert rows(read_history(spark, path)) == rows(before)
     again = run_snapshot(_copy(spark, ("a", "z", 1)), path, "id", ["state"], RUNS[2])
@@ -228,6 +229,29 @@ def test_schema_drift(spark):
     assert dict(check_schema(stamped, "partos").dtypes)["timestamp_registro"] == "timestamp_ntz"
 
 
+def test_history_holds_each_version_once(spark, tmp_path):
+    path = str(tmp_path / "history")
+    states = [("a", "b"), ("a", "b"), ("a", "c"), ("a", "c"), ("d", "c")]
+    for n, (one, two) in enumerate(states):
+        copy = _copy(spark, ("k", one, 1), ("l", two, 2), ("m", "same", 3))
+        history = run_snapshot(copy, path, "id", ["state"], RUNS[0] + timedelta(days=n))
+        on_disk = spark.read.option("recursiveFileLookup", "true").parquet(path).count()
+        assert on_disk == history.count() == 3 + (n > 1) + (n > 3)
+
+
+def test_lossless_widening(spark):
+    palp = frame(spark, "palpamientos", [])
+    for kind in ("tinyint", "smallint", "int"):
+        given = palp.withColumn("dias_gestacion", F.col("dias_gestacion").cast(kind))
+        assert dict(check_schema(given, "palpamientos").dtypes)["dias_gestacion"] == "bigint"
+    with pytest.raises(SchemaDrift):
+        check_schema(palp.withColumn("dias_gestacion", F.col("dias_gestacion").cast("double")), "palpamientos")
+    insumos = frame(spark, "catalogo_insumos", [])
+    for kind in ("int", "bigint", "decimal(10,2)"):
+        given = insumos.withColumn("existencia_actual", F.col("existencia_actual").cast(kind))
+        assert dict(check_schema(given, "catalogo_insumos").dtypes)["existencia_actual"] == "decimal(38,9)"
+
+
 def test_lineage_is_cut_in_the_shared_folder(spark, rows):
     kept = cut_lineage(spark.range(3).withColumn("x", F.lit("a")))
     folder = shared_folder(spark)
