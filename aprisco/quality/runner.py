@@ -56,9 +56,12 @@ class Verdict:
     check_id: str
     severity: str
     failures: int
+    finding: str | None = None  # what a monitor found, in its own words
 
     @property
     def status(self) -> str:
+        if self.finding:
+            return self.finding
         if not self.failures:
             return "pass"
         return "warn" if self.severity == WARN else "fail"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from pyspark.sql.types import (
 from aprisco.sources.schemas import RAW_TABLES, raw_table
 from aprisco.sources.versions import complete_versions, write_next
 
+WRITES_AT_A_TIME = 4
+
 # Columns that staging casts, and so may arrive as text.
 CAST_LATER = ("fecha_nacimiento",)
 
@@ -118,16 +121,20 @@ def replicate(
 ) -> dict[str, str]:
     """Copy whole tables from the live source into the replica, each to a new version.
 
-    All tables are tried; if any fails the load raises, and the caller must not transform.
-    Tables that failed keep their previous version.
+    A few tables are written at a time. All are tried; if any fails the load raises, and the
+    caller must not transform. Tables that failed keep their previous version.
     """
     written, failed = {}, {}
-    for name in tables or [t.name for t in RAW_TABLES]:
+
+    def load(name: str) -> None:
         table = raw_table(name).table
         try:
             written[table] = write_next(live.table(name), f"{root}/{table}")
         except Exception as error:  # noqa: BLE001 - reported together below
-            failed[table] = f"{type(error).__name__}: {str(error).splitlines()[0]}"
+            failed[table] = f"{type(error).__name__}: {(str(error) or '?').splitlines()[0]}"
+
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        list(pool.map(load, tables or [t.name for t in RAW_TABLES]))
     if failed:
         raise LoadFailed("; ".join(f"{t}: {why}" for t, why in sorted(failed.items())))
     return written

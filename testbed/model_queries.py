@@ -19,6 +19,7 @@ from aprisco.quality import (
     count_reconciliation,
     daily_loads,
     freshness,
+    freshness_metrics,
     ledger_reconciliation,
     score_anomalies,
     volume_metrics,
@@ -156,7 +157,12 @@ def _raw_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_anomalies(volume_metrics(_loads(spark, sf_dir), until=RAW_NOW.date()))
+    tables = [t.table for t in WATCHED]
+    return score_anomalies(volume_metrics(_loads(spark, sf_dir), RAW_NOW.date(), tables))
+
+
+def _raw_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_anomalies(freshness_metrics(_loads(spark, sf_dir), RAW_NOW))
 
 
 def _raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,6 +174,7 @@ RAW_CHECKS = {
     "raw_freshness": _raw_freshness,
     "raw_reconciliation": _raw_reconciliation,
     "raw_volume_anomalies": _raw_volume,
+    "raw_freshness_anomalies": _raw_gaps,
     "raw_column_profile": _raw_profile,
 }
 
@@ -416,29 +423,45 @@ def scored_sql(series: str) -> str:
     return f"""
 WITH {series},
 w AS (SELECT *, count(valor) OVER h AS n_puntos, avg(valor) OVER h AS m, stddev_samp(valor) OVER h
-  AS s FROM series WINDOW h AS (PARTITION BY tabla, metrica, columna ORDER BY bucket
+  AS s, min(valor) OVER h AS low, max(valor) OVER h AS top FROM series WINDOW h AS (PARTITION BY tabla, metrica, columna ORDER BY bucket
   ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
 SELECT tabla, metrica, columna, bucket, valor, n_puntos, round(m, 6) AS media,
-  round(s, 6) AS desviacion, round(CASE WHEN s > 0 THEN (valor - m) / s END, 6) AS z,
+  round(s, 6) AS desviacion, round(CASE WHEN low < top AND s > 0 THEN (valor - m) / s END, 6) AS z,
   CASE WHEN n_puntos < 7 THEN 'insufficient_history'
-       WHEN coalesce(s, 0) = 0 AND valor <> m THEN 'anomaly'
-       WHEN s > 0 AND abs((valor - m) / s) > 3 THEN 'anomaly' ELSE 'ok' END AS veredicto FROM w"""
+       WHEN low = top AND valor <> top THEN 'anomaly'
+       WHEN low < top AND s > 0 AND abs((valor - m) / s) > 3 THEN 'anomaly' ELSE 'ok' END AS veredicto FROM w"""
 
 
 def volume_sql(table: str, stamp: str, until: str | None = None) -> str:
     """Rows per day of a table, with zeros for the days without any."""
-    end = f"greatest(CAST(max({stamp}) AS DATE), DATE '{until}')" if until else f"CAST(max({stamp}) AS DATE)"
+    last = f"CAST(max({stamp}) AS DATE)"
+    start, end = f"CAST(min({stamp}) AS DATE)", last
+    if until:
+        # Without any row there is one day, and nothing on it.
+        start, end = f"coalesce({start}, DATE '{until}')", f"greatest({last}, DATE '{until}')"
     return f"""SELECT '{table}' AS tabla, 'row_count' AS metrica, CAST(NULL AS VARCHAR) AS columna,
   CAST(d AS DATE) AS bucket, CAST(coalesce(n, 0) AS DOUBLE) AS valor
-  FROM (SELECT unnest(generate_series(CAST(min({stamp}) AS DATE), {end}, INTERVAL 1 DAY)) AS d
-    FROM {table})
+  FROM (SELECT unnest(generate_series({start}, {end}, INTERVAL 1 DAY)) AS d FROM {table})
   LEFT JOIN (SELECT CAST({stamp} AS DATE) AS b, count(*) AS n FROM {table} GROUP BY 1) ON b = d"""
 
 
+def gap_sql(table: str, stamp: str, now: str) -> str:
+    """Seconds between the last loads of days that have any, and from the last one until now."""
+    return f"""SELECT '{table}' AS tabla, 'seconds_since_previous_load' AS metrica,
+  CAST(NULL AS VARCHAR) AS columna, bucket, CAST(greatest(us, silence) // 1000000 AS DOUBLE) AS valor
+  FROM (SELECT bucket, epoch_us(t) - lag(epoch_us(t)) OVER (ORDER BY bucket) AS us,
+    CASE WHEN bucket = DATE '{now[:10]}' THEN epoch_us(TIMESTAMP '{now}') - epoch_us(t) END AS silence
+    FROM (SELECT CAST({stamp} AS DATE) AS bucket, max(CAST({stamp} AS TIMESTAMP)) AS t FROM {table}
+      WHERE {stamp} IS NOT NULL GROUP BY 1
+      UNION ALL SELECT DATE '{now[:10]}', TIMESTAMP '{now}' FROM {table}
+      HAVING CAST(max({stamp}) AS DATE) < DATE '{now[:10]}'))
+  WHERE greatest(us, silence) IS NOT NULL"""
+
+
 def _raw_check_sql(relations: dict[str, str]) -> dict[str, str]:
     ages = " UNION ALL ".join(
         f"SELECT '{t.table}' AS tabla, CAST(max({t.loaded_at}) AS TIMESTAMP) AS max_loaded_at, "
-        f"CASE WHEN max({t.loaded_at}) + INTERVAL {t.freshness_days[1]} DAY < TIMESTAMP '{RAW_NOW}' "
+        f"CASE WHEN count({t.loaded_at}) = 0 THEN 'not_computable' WHEN max({t.loaded_at}) + INTERVAL {t.freshness_days[1]} DAY < TIMESTAMP '{RAW_NOW}' "
         f"THEN 'error' WHEN max({t.loaded_at}) + INTERVAL {t.freshness_days[0]} DAY < "
         f"TIMESTAMP '{RAW_NOW}' THEN 'warn' ELSE 'pass' END AS status FROM {t.table}"
         for t in WATCHED
@@ -453,6 +476,7 @@ def _raw_check_sql(relations: dict[str, str]) -> dict[str, str]:
     volumes = " UNION ALL ".join(
         volume_sql(t.table, t.loaded_at, str(RAW_NOW.date())) for t in WATCHED
     )
+    gaps = " UNION ALL ".join(gap_sql(t.table, t.loaded_at, str(RAW_NOW)) for t in WATCHED)
     profile = []
     for column in PROFILED.schema:
         c, kind = column.name, column.dataType.simpleString()
@@ -482,6 +506,8 @@ def _raw_check_sql(relations: dict[str, str]) -> dict[str, str]:
         "raw_freshness": with_relations(ages, raw),
         "raw_reconciliation": with_relations(lost, raw),
         "raw_volume_anomalies": f"WITH {ctes}, {scored}",
+        "raw_freshness_anomalies": f"WITH {ctes}, "
+        + scored_sql(f"series AS ({gaps})").replace("WITH ", "", 1),
         "raw_column_profile": f"SELECT * FROM ({with_relations(profiled, raw)}) WHERE valor IS NOT NULL",
     }
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -182,18 +182,18 @@ def test_lost_rows_of_the_replica_stop_the_build(spark, tmp_path):
 
 def test_old_sources_and_anomalies_only_warn(spark, tmp_path):
     content = farm_rows()
-    for days in range(1, 15):
+    for days in range(1, 15):  # the day before NOW is the last complete one
         content["catalogo_lotes"].append(
             item("id_item", f"old{days}", fecha_creacion=date(2026, 3, days))
         )
     content["catalogo_lotes"] += [
-        item("id_item", f"new{i}", fecha_creacion=date(2026, 3, 20)) for i in range(50)
+        item("id_item", f"new{i}", fecha_creacion=NOW.date() - timedelta(days=1)) for i in range(50)
     ]
     for row in content["partos"]:
         row["timestamp_registro"] = datetime(2026, 1, 1)
     run = build(spark, raw_zone(spark, content), str(tmp_path), NOW, now=NOW, domains=["hato"])
     status = {v.check_id: v.status for v in run.verdicts}
-    assert status["freshness_tb_fact_partos"] == "warn"
+    assert status["freshness_tb_fact_partos"] == "error"
     assert status["freshness_tb_fact_salidas"] == "pass"
     assert status["volume_anomalies_tb_dim_catalogo_lotes"] == "warn"
     assert status["volume_anomalies_tb_fact_partos"] == "pass"
@@ -236,3 +236,20 @@ def test_refresh_builds_only_after_a_whole_load(spark, tmp_path):
     assert not (tmp_path / "warehouse").exists()
     run = refresh(spark, live, raw_root, root, NOW, domains=["finanzas"])
     assert run.warehouse["rpt_transacciones_financieras_recientes"].count() == 1
+
+
+def test_a_table_that_falls_silent_or_empty_shows(spark, tmp_path):
+    content = farm_rows()
+    content["catalogo_lotes"] = [
+        item("id_item", f"d{day}_{i}", fecha_creacion=date(2026, 3, day)) for day in range(1, 15) for i in range(3)
+    ]
+    zone = raw_zone(spark, content)
+    build(spark, zone, str(tmp_path), datetime(2026, 3, 15, 6), now=datetime(2026, 3, 15, 8), domains=["hato"])
+    content["catalogo_lotes"] = []
+    run = build(
+        spark, raw_zone(spark, content), str(tmp_path), datetime(2026, 3, 16, 6), now=datetime(2026, 3, 16, 8),
+        domains=["hato"],
+    )
+    status = {v.check_id: v.status for v in run.verdicts}
+    assert status["freshness_tb_dim_catalogo_lotes"] == "not_computable"
+    assert status["volume_anomalies_tb_dim_catalogo_lotes"] == "warn"
