@@ -426,7 +426,7 @@ w AS (SELECT *, count(valor) OVER h AS n_puntos, avg(valor) OVER h AS m, stddev_
   AS s, min(valor) OVER h AS low, max(valor) OVER h AS top FROM series WINDOW h AS (PARTITION BY tabla, metrica, columna ORDER BY bucket
   ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))
 SELECT tabla, metrica, columna, bucket, valor, n_puntos, round(m, 6) AS media,
-  round(s, 6) AS desviacion, round(CASE WHEN low < top AND s > 0 THEN (valor - m) / s END, 6) AS z,
+  round(s, 6) AS desviacion, round(CASE WHEN low < top AND s > 0 THEN (valor - m) / s END, 6) + 0.0 AS z,
   CASE WHEN n_puntos < 7 THEN 'insufficient_history'
        WHEN low = top AND valor <> top THEN 'anomaly'
        WHEN low < top AND s > 0 AND abs((valor - m) / s) > 3 THEN 'anomaly' ELSE 'ok' END AS veredicto FROM w"""

@@ -5,21 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from aprisco.plans.build import build
 from aprisco.plans.models import MODELS, SNAPSHOTS
-from aprisco.quality import unique
+from aprisco.quality import Check, run_checks, unique
+from aprisco.quality.runner import ERROR, WARN
 from aprisco.sources import (
     RawZone,
     append_failures,
     read_fact,
+    register_view,
     replicate,
     run_snapshot,
     write_fact,
     write_table,
 )
+from aprisco.sources.schemas import RAW_TABLES
 from aprisco.sources.shared import new_path
 from testbed.farm_raw import raw_sql, raw_zone
-from testbed.model_queries import RUNS, relations_sql, warehouse, with_relations
+from testbed.model_queries import RUNS, _rule_sql, relations_sql, warehouse, with_relations
 
 
 def _fact(name: str, granularity: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -60,6 +65,62 @@ def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/unique_lineitem").drop("run_ts")
 
 
+def _through_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A staging model and a dimension, registered as views and read back by SQL."""
+    w = warehouse(spark, sf_dir)
+    register_view(w["stg_pesaje_leche"], "vista_pesaje")
+    register_view(w["dim_finca"], "vista_finca")
+    return spark.sql(
+        "SELECT g.nombre_finca, p.ordeno, count(*) AS n FROM vista_pesaje p "
+        "JOIN vista_finca g ON g.id_finca = p.id_finca GROUP BY 1, 2"
+    )
+
+
+#: Rules on the raw columns of the given tables, of both severities; some are broken.
+RULES = (
+    Check("unique", "lineitem", ("l_orderkey",), WARN),
+    Check("not_null", "orders", ("o_orderkey",), ERROR),
+    Check("accepted_values", "orders", ("o_orderstatus",), ERROR, values=("F", "O")),
+    Check("accepted_values", "lineitem", ("l_linestatus",), WARN, values=("F", "O")),
+    Check("relationships", "orders", ("o_custkey",), ERROR, parent="customer", field="c_custkey"),
+)
+
+
+def _severities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts of checks of either severity, as a build stores them."""
+    verdicts = run_checks(RULES, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    rows = [(v.check_id, v.severity, v.failures, v.status) for v in verdicts]
+    return spark.createDataFrame(rows, "check_id string, severity string, failures long, status string")
+
+
+MILK_DATES = {
+    "tb_fact_venta_leche": "fecha_pago",
+    "tb_fact_microbiologia_leche": "fecha_muestra",
+    "tb_fact_composicion_leche": "fecha_muestra",
+}
+
+
+def _refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layered refresh of one domain, replica, checks and all; what its stored report holds.
+
+    Facts of unknown farms or outside the calendar would stop the build, so the live source has
+    none here. No report would show them.
+    """
+    root, zone = new_path(spark), raw_zone(spark, sf_dir)
+
+    def sound(table: str) -> DataFrame:
+        rows = zone.table(table)
+        if table not in MILK_DATES:
+            return rows
+        dated = rows.where(F.col(MILK_DATES[table]).between("2020-01-01", "2035-12-31"))
+        return dated.join(zone.table("fincas"), "id_finca", "left_semi").select(rows.columns)
+
+    tables = [t.name for t in RAW_TABLES if t.domain in ("leche", "comun")]
+    replicate(RawZone(sound), f"{root}/raw", tables)
+    run = build(spark, RawZone.from_path(spark, f"{root}/raw"), f"{root}/warehouse", RUNS[1], domains=["leche"])
+    return run.warehouse["rpt_entregas_leche_recientes"]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "fact_by_day": _fact("fct_pesaje", "day"),
@@ -68,9 +129,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stored_history": _history,
         "stored_failures": _failures,
         "replica_load": _replica,
+        "registered_view": _through_view,
+        "severity_verdicts": _severities,
+        "layered_refresh": _refresh,
     }
 
 
+def _verdict_sql(rule: Check) -> str:
+    broken = "warn" if rule.severity == WARN else "fail"
+    return (
+        f"SELECT check_id, '{rule.severity}' AS severity, failures::BIGINT AS failures, "
+        f"CASE WHEN failures = 0 THEN 'pass' ELSE '{broken}' END AS status FROM ({_rule_sql(rule)})"
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     relations = relations_sql()
     return {
@@ -83,4 +155,11 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY 1, 2 HAVING count(*) > 1"
         ),
         "replica_load": raw_sql()["tb_fact_pesaje_leche"],
+        "registered_view": with_relations(
+            "SELECT g.nombre_finca, p.ordeno, count(*) AS n FROM stg_pesaje_leche p "
+            "JOIN dim_finca g ON g.id_finca = p.id_finca GROUP BY 1, 2",
+            relations,
+        ),
+        "severity_verdicts": " UNION ALL ".join(_verdict_sql(r) for r in RULES),
+        "layered_refresh": with_relations("SELECT * FROM rpt_entregas_leche_recientes", relations),
     }
