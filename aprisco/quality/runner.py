@@ -97,27 +97,74 @@ def _row_rules(df: DataFrame, rules: Sequence[Check]) -> DataFrame:
     )
 
 
+def _key_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) -> DataFrame:
+    """Offending values of all ``unique`` and ``relationships`` rules, from one scan per table.
+
+    Every row gives its (rule, value) pairs, which are folded on the map side; one exchange
+    counts the values of all tables, and one join holds them against the keys of all parents,
+    each read once. Keys are compared as text, which tells the same values apart.
+    """
+    by_table: dict[str, list[tuple[int, Check]]] = defaultdict(list)
+    for number, rule in enumerate(rules):
+        by_table[rule.table].append((number, rule))
+    text = lambda column: F.col(column).cast("string")
+    scans = []
+    for table, own in by_table.items():
+        pairs = [F.struct(F.lit(n).alias("rule"), text(r.columns[0]).alias("value")) for n, r in own]
+        pair = relation(table).select(F.explode(F.array(*pairs)).alias("pair"))
+        scans.append(pair.select("pair.rule", "pair.value").where("value IS NOT NULL"))
+    counts = reduce(DataFrame.union, scans).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    parents = list(dict.fromkeys((r.parent, r.field) for r in rules if r.parent))
+    if parents:
+        parent = F.lit(None).cast("int")
+        for number, rule in enumerate(rules):
+            if rule.parent:
+                tag = parents.index((rule.parent, rule.field))
+                parent = F.when(F.col("rule") == number, F.lit(tag)).otherwise(parent)
+        known = [
+            relation(table).select(F.lit(tag).alias("parent"), text(key).alias("value"))
+            for tag, (table, key) in enumerate(parents)
+        ]
+        known = reduce(DataFrame.union, known).distinct().withColumn("known", F.lit(True))
+        counts = counts.withColumn("parent", parent).join(known, ["parent", "value"], "left")
+        refers = F.col("parent").isNotNull()
+        broken = F.when(refers & F.col("known").isNull(), F.col("n"))
+        broken = broken.when(~refers & (F.col("n") > 1), 1)
+    else:
+        broken = F.when(F.col("n") > 1, 1)
+    found = counts.groupBy("rule").agg(F.coalesce(F.sum(broken), F.lit(0)).alias("broken"))
+    names = [(n, r.id) for n, r in enumerate(rules)]
+    listed = found.sparkSession.createDataFrame(names, "rule int, check_id string")
+    # A rule without any value has no row of its own
+    return listed.join(found, "rule", "left").select(
+        "check_id", F.coalesce("broken", F.lit(0)).cast("long").alias("failures")
+    )
+
+
 def count_failures(
     rules: Iterable[Check], relation: Callable[[str], DataFrame]
 ) -> DataFrame:
     """One row per check: its id and how many rows or values break it, as one plan.
 
-    ``not_null`` and ``accepted_values`` of a table share a scan; ``unique`` and
-    ``relationships`` aggregate by their column. Reference keys that several checks use are
-    read and reduced once, as the optimizer reuses equal exchanges.
+    ``not_null`` and ``accepted_values`` of a table share a scan, and so do ``unique`` and
+    ``relationships``; other checks have their own.
     """
     rules = list(rules)
-    by_row, parts = defaultdict(list), []
+    by_row, by_key, parts = defaultdict(list), [], []
     for rule in rules:
         if rule.kind in ("not_null", "accepted_values"):
             by_row[rule.table].append(rule)
+        elif rule.kind in ("unique", "relationships") and len(rule.columns) == 1:
+            by_key.append(rule)
         else:
-            weight = F.sum("n_records") if rule.kind == "relationships" else F.count(F.lit(1))
             parts.append(
                 rule.failing(relation)
-                .agg(F.coalesce(weight, F.lit(0)).alias("failures"))
+                .agg(F.count(F.lit(1)).alias("failures"))
                 .select(F.lit(rule.id).alias("check_id"), "failures")
             )
+    if by_key:
+        parts.append(_key_rules(by_key, relation))
     parts += [_row_rules(relation(table), own) for table, own in by_row.items()]
     return reduce(DataFrame.union, parts)
 

@@ -20,6 +20,7 @@ from aprisco.quality import (
     run_checks,
     unique,
 )
+from aprisco.quality.runner import count_failures
 
 
 def _values(spark, *values):
@@ -149,3 +150,25 @@ def test_runner_judges_all_checks_of_a_table(spark):
 def test_verdict_of_a_warning_never_fails():
     assert Verdict("c", "warn", 3).status == "warn"
     assert Verdict("c", "error", 0).status == "pass"
+
+
+def test_key_checks_read_each_table_once(spark, tmp_path, rows):
+    tables = {}
+    for name, data in {
+        "child": [(1, 1), (1, 2), (2, 9), (3, None), (None, 9)],
+        "parent": [(1, 1), (2, 2), (2, 3)],
+    }.items():
+        spark.createDataFrame(data, "id int, ref int").write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    rules = [
+        Check("unique", "child", ("id",)), Check("unique", "parent", ("id",)),
+        Check("unique", "parent", ("ref",)),
+        Check("relationships", "child", ("ref",), parent="parent", field="id"),
+        Check("relationships", "child", ("id",), parent="parent", field="ref"),
+    ]
+    found = count_failures(rules, tables.__getitem__)
+    assert rows(found) == sorted(
+        [(rules[0].id, 1), (rules[1].id, 1), (rules[2].id, 0), (rules[3].id, 2), (rules[4].id, 0)], key=repr
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 + 2  # a scan per table for its own rules, one per parent key
