@@ -27,7 +27,7 @@ FROM w LEFT JOIN kept USING (doc_id)
 OP5 = """
 WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 s AS (
-  SELECT doc_id, p, md5_number(substr(x, 2 * p + 1, 800)) AS h
+  SELECT doc_id, p, hash(substr(x, 2 * p + 1, 800)) AS h
   FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 399)) AS p FROM b)
 ), twice AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1),
 hits AS (SELECT doc_id, p FROM s SEMI JOIN twice USING (h)),
