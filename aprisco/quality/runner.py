@@ -134,8 +134,8 @@ def _key_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) ->
     else:
         broken = F.when(F.col("n") > 1, 1)
     found = counts.groupBy("rule").agg(F.coalesce(F.sum(broken), F.lit(0)).alias("broken"))
-    names = [(n, r.id) for n, r in enumerate(rules)]
-    listed = found.sparkSession.createDataFrame(names, "rule int, check_id string")
+    names = [F.struct(F.lit(n).alias("rule"), F.lit(r.id).alias("check_id")) for n, r in enumerate(rules)]
+    listed = found.sparkSession.range(1).select(F.inline(F.array(*names)))
     # A rule without any value has no row of its own
     return listed.join(found, "rule", "left").select(
         "check_id", F.coalesce("broken", F.lit(0)).cast("long").alias("failures")
