@@ -82,8 +82,8 @@ def matches(docs: DataFrame) -> DataFrame:
         )
         for kind, pattern in {**PATTERNS, **GENERATORS}.items()
     ]
-    # What only digits or an at sign can begin is not looked for where there is none
-    rows = own.where(F.col("text").rlike("[0-9]{2}|@|[(\\[]at[)\\]]")).select("uid", "doc_id", F.explode(F.array(*found)).alias("f"))
+    # Every pattern needs a digit or an at sign, as such or spelled out
+    rows = own.where(F.col("text").rlike("[0-9]|@|[(\\[]at[)\\]]")).select("uid", "doc_id", F.explode(F.array(*found)).alias("f"))
     rows = rows.where("size(f.found) > 0").select("uid", "doc_id", "f.kind", "f.found", "f.between")
     each = F.transform(
         "found",

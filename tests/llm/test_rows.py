@@ -198,6 +198,18 @@ def test_base_spans_match_the_rules(spark):
     assert pii.find_personal_data(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_base_spans_without_two_digits_in_a_row(spark):
+    texts = ["8.8.8.8", "server 8.8.8.8 is down", "+1-2-3-4-5-6-7-8-9-0", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "4 1 1", "no digit"]
+    texts += ["a@b.c", "x [at] y [dot] z", "(at)", "é 1.2.3.4 +1 2 3 4 5 6 7 8 9 0"]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, text in rows:
+        expected = base_spans(text)
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in got[i].base or []] == expected
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(s.startswith(k) for s in expected) for k in pii.KINDS]
+    assert [(got[i].n_ip, got[i].n_card, got[i].n_phone) for i in range(4)] == [(1, 0, 0), (1, 0, 0), (0, 0, 1), (0, 1, 0)]
+
+
 def test_trees_add_what_looks_like_personal_data(spark):
     rng = random.Random(11)
     number = lambda: "".join(rng.choice("0123456789") for _ in range(10))
