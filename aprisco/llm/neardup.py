@@ -48,7 +48,8 @@ def set_ids(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_id and the band keys of every document."""
+    """n_shingles, set_id and the band keys of every document, after its columns beside the text."""
+    named = [f for f in docs.schema if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -57,16 +58,16 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 keys = band_keys(superminhash(values, offsets, BANDS * ROWS), ROWS).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        block.column("doc_id"),
+                        *(block.column(f.name) for f in named),
                         pa.array(np.diff(offsets)),
                         set_ids(values, offsets),
                         pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), BANDS).cast(pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "set_id", "bands"],
+                    names=[*(f.name for f in named), "n_shingles", "set_id", "bands"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id binary, bands array<long>")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named)
+    return docs.mapInArrow(run, f"{kinds}, n_shingles long, set_id binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -220,10 +221,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
     return links.unionByName(links_within(meeting, ["cluster", "l1", "l2"], percent))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    own = docs.select("doc_id", "text")
-    found = cut_lineage(signatures(own, width))
+def grouped_sets(own: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame:
+    """set_id, the least id and the component of every set that ``signatures`` found."""
     nodes = cut_lineage(
         found.where("set_id is not null")
         .groupBy("set_id")
@@ -231,7 +230,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     groups = connected_components(near_links(own, nodes, width, percent)).withColumnRenamed("node", "set_id")
     named = nodes.select("set_id", F.col("doc_id").alias("least")).join(groups, "set_id", "left")
-    named = named.withColumn("component", F.coalesce("component", "set_id"))
+    return named.withColumn("component", F.coalesce("component", "set_id"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    own = docs.select("doc_id", "text")
+    found = cut_lineage(signatures(own, width))
+    named = grouped_sets(own, found, width, percent)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_set = named.join(least, "component").select("set_id", "component_id")
     return (
@@ -243,7 +249,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of each group, once."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    stay = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    """The documents that stay, with all their columns: of each group one row with its smallest id,
+    or one without an id where none has any, and every row without words."""
+    uid = F.xxhash64("doc_id", "text")  # tells rows with one id and different texts apart
+    own = docs.select("doc_id", "text", uid.alias("uid"))
+    found = cut_lineage(signatures(own, width))
+    groups = grouped_sets(own, found, width, percent).select("set_id", "component")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "uid")
+    kept = found.select("set_id", row.alias("row")).join(groups, "set_id").groupBy("component").agg(F.min("row").alias("row"))
+    kept = kept.select(F.col("row.doc_id").alias("__kept"), F.col("row.uid").alias("__uid"))
+    worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = docs["doc_id"].eqNullSafe(kept["__kept"]) & (uid == kept["__uid"])
+    stay = docs.where(worded).join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return stay.unionByName(docs.where(~worded))

@@ -11,7 +11,7 @@ import pytest
 from aprisco.llm import fmindex, neardup, repeats, suffixes
 from aprisco.llm.components import connected_components
 from aprisco.llm.minhash import superminhash
-from tests.llm.data import EXTRA, WORDS, awkward, components, shingles, with_extra
+from tests.llm.data import EXTRA, WORDS, awkward, components, prose, shingles, with_extra
 
 SCHEMA = "doc_id long, text string"
 
@@ -133,6 +133,24 @@ def test_one_of_each_stays_with_all_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, c in expected.items() if i == c)
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(14)
+    texts = [prose(rng, 120) for _ in range(5)]
+    a, b, c, d, e = texts
+    edited = lambda t: " ".join(["edited" if k == 60 else w for k, w in enumerate(t.split(" "))])
+    rows = [(None, a), (None, edited(a)), (None, a), (7, b), (None, edited(b))]
+    rows += [(1, c), (3, edited(c)), (3, d), (8, e), (8, edited(e)), (8, e)]
+    blank = [(5, ""), (5, ""), (6, None), (6, None), (None, " "), (None, " ")]
+    df = spark.createDataFrame(with_extra(rows + blank), EXTRA)
+    kept = neardup.keep_one_of_each(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert Counter(r for r in got if r in blank) == Counter(blank)
+    assert sorted((i for i, t in got if (i, t) not in blank), key=str) == [1, 3, 7, 8, None]
+    assert {(1, c), (3, d), (7, b)} <= set(got)
+    assert sum(t in (a, edited(a)) for _, t in got) == sum(t in (e, edited(e)) for _, t in got) == 1
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(8)
     errors = []
