@@ -92,7 +92,7 @@ def shard_uniformly(
     def place(df: DataFrame) -> DataFrame:
         key: Column = F.xxhash64(F.lit(seed), block_, rank_)
         return (
-            df.join(table, block_)
+            df.join(F.broadcast(table), block_)  # a row per block, so that no text is shuffled for it
             .withColumn("shard", F.size(F.filter(upto_, lambda n: n <= F.col(rank_))))
             .withColumn(key_, key)
             .withColumn(bucket_, F.pmod(F.shiftrightunsigned(key_, 20), F.lit(buckets)).cast("int"))
@@ -117,14 +117,12 @@ def shard_uniformly(
 
 
 def digest(docs: DataFrame, n_shards: int = 8) -> DataFrame:
-    """The rows of a table of documents by what names and measures them, put into shards."""
+    """A table of whole documents put into shards; of each row what names and measures it."""
     data = F.encode("text", "utf-8")
-    own = docs.select(
+    return shard_uniformly(docs, n_shards).select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce(data, F.lit(b""))).alias("text_crc32"),
-    )
-    return shard_uniformly(own, n_shards).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

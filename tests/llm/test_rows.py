@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -46,6 +47,23 @@ def test_shards_are_exact_and_keep_all_columns(spark, per_bucket):
         sharding.shard_uniformly(df, 0)
 
 
+def test_digest_is_of_whole_documents_in_shards(spark, monkeypatch):
+    whole, given = sharding.shard_uniformly, []
+
+    def recorded(docs, *args):
+        given.append(docs.columns)
+        return whole(docs, *args)
+
+    monkeypatch.setattr(sharding, "shard_uniformly", recorded)
+    rows = awkward(15)
+    df = spark.createDataFrame(with_extra(rows), EXTRA).repartition(3)
+    got = sharding.digest(df, 4).collect()
+    assert given == [df.columns]
+    data = {i: (t or "").encode() for i, t in rows}
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in got} == {i: (len(b) + 1, zlib.crc32(b)) for i, b in data.items()}
+    assert sorted((r.shard, r.slot) for r in got) == [(k, s) for k in range(4) for s in range(len(rows[k::4]))]
+
+
 def test_shards_are_uniform(spark):
     df = spark.range(4000).repartition(4)
     got = sharding.shard_uniformly(df, 4).toPandas()
