@@ -11,6 +11,7 @@ from aprisco.plans.suite import SUITE
 from aprisco.sources import RawZone
 from aprisco.sources.raw import LoadFailed
 from aprisco.sources.schemas import RAW_TABLES, raw_table
+from aprisco.sources.sinks import append_rows
 from tests.farm import FARM, NOW, fact, farm_rows, item, raw_zone
 
 DAY = date(2026, 3, 15)
@@ -238,6 +239,23 @@ def test_refresh_builds_only_after_a_whole_load(spark, tmp_path):
     assert run.warehouse["rpt_transacciones_financieras_recientes"].count() == 1
 
 
+def test_column_scores_see_points_behind_runs_of_other_tables(spark, tmp_path):
+    def stored(table, start, runs, value):
+        for i in range(runs):
+            at = start + timedelta(days=i)
+            row = (table, "null_count", "id_finca", at.date(), value)
+            metrics = spark.createDataFrame([row], "tabla string, metrica string, columna string, bucket date, valor double")
+            append_rows(metrics, f"{tmp_path}/metadata/column_metrics", at)
+
+    stored("tb_fact_venta_leche", datetime(2026, 1, 1), 14, 5.0)
+    stored("tb_fact_partos", datetime(2026, 2, 1), 16, 0.0)
+    stored("tb_fact_venta_leche", datetime(2026, 6, 1), 15, 0.0)  # later runs do not count
+    build(spark, raw_zone(spark, farm_rows()), str(tmp_path), NOW, now=NOW, domains=["leche"])
+    scores = spark.read.parquet(f"{tmp_path}/metadata/anomaly_scores")
+    scores = scores.where("tabla = 'tb_fact_venta_leche' and metrica = 'null_count' and columna = 'id_finca'")
+    assert [r.veredicto for r in scores.collect()] == ["anomaly"]
+
+
 def test_a_table_that_falls_silent_or_empty_shows(spark, tmp_path):
     content = farm_rows()
     content["catalogo_lotes"] = [
