@@ -12,7 +12,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from aprisco.llm.blocks import Stretches, owners, window_starts
+from aprisco.llm.blocks import PIECE, owners, stretch_hashes, window_hashes, window_starts
+
+PLACE_BITS = 20  # of a ranked hash; a piece and a window have fewer places
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -41,22 +43,27 @@ class Segments:
 
 
 def segments(symbols: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Segments:
-    """Segments of the texts whose symbols lie end to end. ``offsets`` says where each begins."""
-    starts = window_starts(offsets, window)
-    none = np.empty(0, np.int64)
-    if not len(starts):
-        return Segments(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))
-    stretch = Stretches(symbols)
-    grams = stretch.fixed(gram)
-    bits = np.uint64(max(20, int(len(grams)).bit_length()))
-    mask = (np.uint64(1) << bits) - np.uint64(1)
-    ranked = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
-    anchor = (sliding_min(ranked, window - gram + 1)[starts] & mask).astype(np.int64)
-    new = np.ones(len(starts), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
-    new[1:] |= np.isin(starts[1:], offsets) if window == 1 else False
-    head = np.flatnonzero(new)
-    tail = np.concatenate([head[1:], [len(starts)]]) - 1
-    first, last, at = starts[head], starts[tail], anchor[head]
-    owner = owners(offsets)[first]
-    return Segments(owner, first, last, at, grams[at], stretch(first, last + window))
+    """Segments of the texts whose symbols lie end to end. ``offsets`` says where each begins.
+    A long sequence is worked on in pieces, which cut segments in two."""
+    n, mask = int(offsets[-1]), np.uint64((1 << PLACE_BITS) - 1)
+    if window > PIECE:
+        raise ValueError(f"a window has {PIECE} symbols at most")
+    found = [np.empty((3, 0), np.int64)]
+    keys = [np.empty(0, np.uint64)]
+    for a in range(0, n, PIECE):
+        starts = window_starts(offsets, window, a, min(a + PIECE, n))
+        if not len(starts):
+            continue
+        grams = window_hashes(symbols[a : a + PIECE + window - 1], gram)
+        ranked = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
+        anchor = (sliding_min(ranked, window - gram + 1)[starts - a] & mask).astype(np.int64) + a
+        new = np.ones(len(starts), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
+        new[1:] |= np.isin(starts[1:], offsets) if window == 1 else False
+        head = np.flatnonzero(new)
+        tail = np.concatenate([head[1:], [len(starts)]]) - 1
+        found.append(np.stack([starts[head], starts[tail], anchor[head]]))
+        keys.append(grams[anchor[head] - a])
+    first, last, at = np.concatenate(found, axis=1)
+    owner = np.searchsorted(offsets, first, side="right") - 1
+    return Segments(owner, first, last, at, np.concatenate(keys), stretch_hashes(symbols, first, last + window))

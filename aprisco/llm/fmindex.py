@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from aprisco.llm.blocks import Stretches, Texts, blocks, spans_sum
+from aprisco.llm.blocks import Texts, blocks, spans_sum
 from aprisco.llm.repeats import covered_by, ranges_of, repeated_windows, with_ranges, with_uid
 
 GRAM = 12
@@ -134,8 +134,7 @@ class FMIndex:
 
 
 def word_symbols(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    starts, ends, offsets = texts.words()
-    return Stretches(texts.data)(starts, ends), offsets
+    return texts.word_hashes()
 
 
 def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:

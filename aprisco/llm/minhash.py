@@ -12,25 +12,20 @@ from __future__ import annotations
 
 import numpy as np
 
-from aprisco.llm.blocks import LOWER, Stretches, Texts, mix, owners, window_starts
+from aprisco.llm.blocks import GOLDEN, Texts, mix, owners, stretch_hashes, window_hashes, window_starts
 
-GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def shingle_sets(texts: Texts, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each text's word shingles, and where each text's begin. A text
     of fewer words has one shingle, all its words; one without words has none."""
-    lowered = Texts.__new__(Texts)
-    lowered.data, lowered.offsets, lowered.rows = LOWER[texts.data], texts.offsets, texts.rows
-    starts, ends, words = lowered.words()
-    hashes = Stretches(lowered.data)(starts, ends)
-    over = Stretches(hashes)
+    hashes, words = texts.lowered().word_hashes()
     at = window_starts(words, width)
-    full = over.fixed(width)[at] if len(at) else np.empty(0, np.uint64)
+    full = window_hashes(hashes, width)[at] if len(at) else np.empty(0, np.uint64)
     n = np.diff(words)
     short = np.flatnonzero((n > 0) & (n < width))
-    whole = over(words[short], words[short + 1])
+    whole = stretch_hashes(hashes, words[short], words[short + 1])
     owner = np.concatenate([owners(words)[at], short])
     values = np.concatenate([full, whole])[np.argsort(owner, kind="stable")]
     offsets = np.zeros(texts.rows + 1, np.int64)

@@ -3,9 +3,14 @@
 A classifier trained on labelled documents gives every document a posterior over the domains. The
 nonnegative rate of each document is found by projected-gradient least squares: so that the
 expected tokens of each domain, summed over all documents by rate, tokens and posterior, meet the
-targets. The steps are scaled by the domains' Gram matrix, so few are needed. Every step is one
-distributed sum over all documents; a document's rate follows from its own tokens and posterior
-and the steps' directions alone, so there is no state to keep or lose.
+targets. The gradient of a document's rate is its tokens times its posterior times what the domains
+are off by, so the sum of all steps is one number per domain, and the rate is the projection of one
+less its tokens times posterior times that sum. A pass over all documents gives what the domains
+are off by and the Gram matrix of the documents whose rate is not held at zero, which scales the
+next step; steps end when the optimality condition holds. There is no state to keep or lose.
+
+Of all rates that meet the targets these are the nearest to one. Targets that no rates meet are
+met as nearly as least squares has it, which ``fit_rates`` tells by what it is still off by.
 
 Defined results: null, empty and word-less texts have no tokens and keep rate 1. Repeated rows get
 equal rates. Labels with nulls are left out; without labels of at least two domains all rates are
@@ -20,9 +25,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from aprisco.llm.blocks import LOWER, Stretches, Texts, blocks, mix as spread, owners
+from aprisco.llm.blocks import Texts, blocks, mix as spread, owners
 from aprisco.sources.shared import cut_lineage
 
 DOMAINS = ("good", "low", "toxic")
@@ -32,9 +37,8 @@ BUCKETS = 2048  # hashed words that the classifier sees
 
 def bags(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Rows of hashed word frequencies, scaled to unit length, and each text's number of words."""
-    starts, ends, offsets = texts.words()
+    hashes, offsets = texts.lowered().word_hashes()
     n = np.diff(offsets)
-    hashes = Stretches(LOWER[texts.data])(starts, ends)
     cell = owners(offsets) * BUCKETS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
     bag = np.bincount(cell, minlength=texts.rows * BUCKETS).reshape(texts.rows, BUCKETS)
     bag = np.sqrt(bag.astype(np.float32))
@@ -61,17 +65,16 @@ def softmax(z: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class MixModel:
     weights: np.ndarray | None  # of the classifier
-    steps: tuple[tuple[float, ...], ...] = ()
+    sum_of_steps: tuple[float, ...] = ()
 
     def posteriors(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         bag, n = bags(texts)
         return softmax(bag @ self.weights[:-1] + self.weights[-1]).astype(float), n
 
     def rates(self, p: np.ndarray, n: np.ndarray) -> np.ndarray:
-        rate = np.ones(len(n))
-        for step in self.steps:
-            rate = np.maximum(0.0, rate - n * (p @ np.array(step)))
-        return rate
+        if not self.sum_of_steps:
+            return np.ones(len(n))
+        return np.maximum(0.0, 1.0 - n * (p @ np.array(self.sum_of_steps)))
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000) -> MixModel:
@@ -80,7 +83,9 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000) ->
     known = labels.where("quality is not null and toxic is not null").groupBy("doc_id").agg(F.min(domain).alias("domain"))
     share = min(1.0, fit_rows / max(known.count(), 1))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known.where(drawn)), "doc_id").select("text", "domain")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known.where(drawn)), "doc_id")
+    # An id counts once, however many rows have it
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("domain").alias("domain"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,38 +124,60 @@ def posteriors(docs: DataFrame, model: MixModel) -> DataFrame:
     return own.mapInArrow(run, f"doc_id {kind}, n_tokens long, " + ", ".join(f"{n} double" for n in names))
 
 
-def rate_column(steps: tuple[tuple[float, ...], ...]):
+def rate_column(sum_of_steps: tuple[float, ...]) -> Column:
     """The rate by the steps so far."""
-    if not steps:
+    if not sum_of_steps:
         return F.lit(1.0)
-    rows = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in steps))
-    toward = lambda s: sum((F.col(f"p_{d}") * s[k] for k, d in enumerate(DOMAINS)), F.lit(0.0))
-    return F.aggregate(rows, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - F.col("n_tokens") * toward(s)))
+    toward = sum((F.col(f"p_{d}") * F.lit(float(s)) for d, s in zip(DOMAINS, sum_of_steps)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.lit(1.0) - F.col("n_tokens") * toward)
+
 
+def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, tolerance: float = 1e-5) -> tuple[float, ...]:
+    """The sum of the projected-gradient steps at which the least squares are optimal to
+    ``tolerance`` of all tokens. ``members`` should be a stored table; a pass reads it once.
 
-def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, tolerance: float = 1e-3, most: int = 30) -> tuple[tuple[float, ...], ...]:
-    """Directions of the projected-gradient steps, until the weights are met within the tolerance
-    or a step no longer helps. ``members`` should be a stored table."""
+    A trace of the distance to rates of one is added to the squares, which makes the optimum
+    unique and every step a descent; steps that do not lower the residual enough are halved.
+    """
+    k = len(DOMAINS)
     p = [F.col(f"p_{d}") for d in DOMAINS]
-    pairs = [(i, j) for i in range(len(p)) for j in range(i, len(p))]
-    square = F.col("n_tokens").cast("double") ** 2
-    first = members.agg(F.sum("n_tokens"), *(F.sum(square * p[i] * p[j]) for i, j in pairs)).first()
-    total = float(first[0] or 0)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    n = F.col("n_tokens").cast("double")
+
+    def look(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Tokens by domain, the Gram matrix of the rates above zero, and half their squares."""
+        rate = rate_column(tuple(steps.tolist()))
+        free = F.when(rate > 0, n * n).otherwise(0.0)
+        row = members.agg(
+            *(F.sum(rate * n * x) for x in p), *(F.sum(free * p[i] * p[j]) for i, j in pairs), F.sum(rate * rate) / 2
+        ).first()
+        gram = np.zeros((k, k))
+        for (i, j), value in zip(pairs, row[k:-1]):
+            gram[i, j] = gram[j, i] = value
+        return np.array(row[:k], float), gram, float(row[-1])
+
+    total = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     if not total:
         return ()
-    gram = np.zeros((len(p), len(p)))
-    for (i, j), value in zip(pairs, first[1:]):
-        gram[i, j] = gram[j, i] = value
-    scale = np.linalg.pinv(gram + 1e-9 * np.trace(gram) * np.eye(len(p)))
-    goal, steps, last = total * np.array(targets), (), np.inf
-    for _ in range(most):
-        got = members.withColumn("rate", rate_column(steps)).agg(*(F.sum(F.col("rate") * F.col("n_tokens") * x) for x in p)).first()
-        off = np.array([float(x) for x in got]) - goal
-        size = float(off @ scale @ off)  # what the scaled steps make smaller
-        if np.abs(off).max() < tolerance * total or size > 0.999 * last:
-            break
-        steps, last = (*steps, tuple((scale @ off).tolist())), size
-    return steps
+    goal, steps = total * np.array(targets), np.zeros(k)
+    got, gram, half = look(steps)
+    trace = 1e-10 * np.trace(gram)  # weight of the distance to one, against the squares
+    value = half + goal @ steps + trace / 2 * steps @ steps
+    while True:
+        off = got - goal - trace * steps
+        if np.abs(off).max() <= tolerance * total:
+            return tuple(steps.tolist())
+        step, share = np.linalg.solve(gram + trace * np.eye(k), off), 1.0
+        while True:
+            to = steps + share * step
+            got, gram, half = look(to)
+            new = half + goal @ to + trace / 2 * to @ to
+            if new <= value - 1e-4 * share * (off @ step) or share < 1e-9:
+                break
+            share /= 2
+        if share < 1e-9 or new >= value:  # no lower value can be told from this one
+            return tuple(to.tolist())
+        steps, value = to, new
 
 
 def fit_mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS) -> tuple[MixModel, DataFrame | None]:
@@ -166,7 +193,7 @@ def soft_rates(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] =
     model, members = fit_mix(docs, labels, targets)
     if members is None:
         members = posteriors(docs, MixModel(np.zeros((BUCKETS + 1, len(DOMAINS)), np.float32)))
-    return members.withColumn("rate", rate_column(model.steps))
+    return members.withColumn("rate", rate_column(model.sum_of_steps))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, seed: int = 3) -> DataFrame:
@@ -182,7 +209,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS
             for block in blocks(batch.rename_columns([str(i) for i in range(batch.num_columns)]), str(at)):
                 texts = Texts(block.column(at))
                 rate = model.rates(*model.posteriors(texts))
-                draw = spread(Stretches(texts.data)(texts.offsets[:-1], texts.offsets[1:]) + np.uint64(seed))
+                draw = spread(texts.hashes() + np.uint64(seed))
                 copies = np.floor(rate + (draw >> np.uint64(11)) / float(1 << 53)).astype(np.int64)
                 yield block.take(pa.array(np.repeat(np.arange(len(copies)), copies))).rename_columns(batch.schema.names)
 

@@ -21,7 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from aprisco.llm.blocks import Stretches, Texts, blocks, covered, repeated, spans_sum, window_starts
+from aprisco.llm.blocks import (
+    NEWLINE, WHITE, Texts, blocks, covered, numbered, repeated, spans_sum, window_numbers, window_starts,
+)
 from aprisco.sources.shared import cut_lineage
 
 SYMBOLS = np.zeros(256, bool)
@@ -43,14 +45,11 @@ def count_rules(texts: Texts) -> dict[str, np.ndarray]:
     data, offsets = texts.data, texts.offsets
     starts, ends, words = texts.words()
     head = (data & 0xC0) != 0x80  # the first byte of each code point
-    heads = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(head, out=heads[1:])
-    stretch = Stretches(data)
 
-    hashes = stretch(starts, ends)
+    own, _ = numbered(texts.parts(starts, ends))
     at = window_starts(words, 5)
-    window_offsets = np.searchsorted(at, words)
-    again, _ = repeated(Stretches(hashes).fixed(5)[at] if len(at) else np.empty(0, np.uint64), window_offsets)
+    windows = window_numbers(own, 5)[at] if len(at) else np.empty(0, np.int64)
+    again, _ = repeated(windows, np.searchsorted(at, words))
     in_repeat = covered(len(starts), at[again], at[again] + 5)
 
     breaks = np.flatnonzero(data == 0x0A)
@@ -58,12 +57,12 @@ def count_rules(texts: Texts) -> dict[str, np.ndarray]:
     line_starts = np.sort(np.concatenate([offsets[:1], breaks + 1, inner]))
     line_ends = np.sort(np.concatenate([breaks, inner, offsets[-1:]]))
     has_word = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)
-    line_starts, line_ends = line_starts[has_word], line_ends[has_word]
-    lines = np.searchsorted(line_starts, offsets)
-    _, dup_lines = repeated(stretch(line_starts, line_ends), lines)
+    contents, _ = numbered(texts.parts(line_starts, line_ends, NEWLINE))
+    lines = np.searchsorted(line_starts[has_word], offsets)
+    _, dup_lines = repeated(contents[has_word], lines)
     return {
         "n_words": np.diff(words),
-        "word_chars": spans_sum(heads[ends] - heads[starts], words),
+        "word_chars": texts.sums(head & ~WHITE[data]),
         "n_symbols": texts.sums(SYMBOLS[data]),
         "n_dup_lines": dup_lines,
         "n_repeat_words": spans_sum(in_repeat, words),
@@ -199,10 +198,12 @@ def fit_quality(
     """Forest from about ``fit_rows`` labelled documents at most, drawn by the hash of their id; threshold from all labelled ones, by a histogram of their scores. ``statistics`` should
     be a stored table, as it is read twice."""
     labelled = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality is not null")
-    rows = statistics.join(labelled, "doc_id")
+    rows = cut_lineage(statistics.join(labelled, "doc_id"))
     share = min(1.0, fit_rows / max(rows.count(), 1))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
-    sample = rows.where(drawn).select(*COUNTS).toPandas().sort_values(list(COUNTS))
+    # An id counts once, however many rows have it
+    sample = rows.where(drawn).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("c")).select("c.*")
+    sample = sample.toPandas().sort_values(list(COUNTS))
     if len(sample) < 2:
         return QualityModel(None, 2.0)
     forest = Forest.grow(features({c: sample[c].to_numpy() for c in COUNTS}), trees)

@@ -7,9 +7,12 @@ shards, and bring the verdicts back to the documents.
    settled by counting, so a large group of them costs one row per copy and nothing else.
 3. The distinct segments of an anchor with several, which is where copies begin, end or differ,
    get their content and go to shards by anchor; the operator's index judges their windows there.
-   An anchor with more than GROUP segments is not held in one task: its windows are counted by
-   their hashes, each as a key of its own.
-4. Windows found are joined to the documents, whose texts cross the network twice in all.
+4. An anchor with more than GROUP distinct segments is not held in one task. Its segments are cut
+   in two: the windows in which the anchor stands early, and those in which it stands late. All
+   windows of such a half share more symbols around the anchor, and these become its key; equal
+   windows have equal ones. Halves of equal content are one again, and the index judges them. What
+   is still crowded is halved further; a half with one window left is its own key, so this ends.
+5. Windows found are joined to the documents, whose texts cross the network twice in all.
 """
 
 from __future__ import annotations
@@ -18,17 +21,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from aprisco.llm.anchors import segments
-from aprisco.llm.blocks import Stretches, Texts, blocks
+from aprisco.llm.blocks import Texts, blocks, covered, digests
+from aprisco.llm.skew import join_by_counts
 from aprisco.sources.shared import cut_lineage
 
-GROUP = 4096  # segments of one anchor that meet in one task at most
+GROUP = 4096  # distinct segments of one key that meet in one task at most
 SHARD = 8192  # segments of a shard, about
 SYMBOLS = Callable[[Texts], tuple[np.ndarray, np.ndarray]]  # symbols of all texts, and where each begins
 JUDGE = Callable[[pa.Table], list[list[tuple[int, int]]]]  # ranges of repeated windows per segment
 SCAN_SCHEMA = "uid long, doc_id {}, key long, content long, first int, last int, anchor int"
+HELD_SCHEMA = "key long, content long, least {}, n long, head int, windows int, symbols binary"
 FOUND_SCHEMA = "key long, content long, ranges array<struct<a:int,b:int>>"
 
 
@@ -71,7 +76,7 @@ def contents(docs: DataFrame, wanted: DataFrame, symbols: SYMBOLS, window: int)
     own = wanted.groupBy("uid", "doc_id").agg(
         F.collect_list(F.struct("key", "content", "least", "n", "first", "last", "anchor")).alias("parts")
     )
-    own = own.withColumnsRenamed({"uid": "u", "doc_id": "d"})
+    own = cut_lineage(own.withColumnsRenamed({"uid": "u", "doc_id": "d"}))
     joined = docs.join(own, (docs["uid"] == own["u"]) & docs["doc_id"].eqNullSafe(own["d"]))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -97,39 +102,97 @@ def contents(docs: DataFrame, wanted: DataFrame, symbols: SYMBOLS, window: int)
                     names=["key", "content", "least", "n", "head", "windows", "symbols"],
                 )
 
-    return joined.select("text", "parts").mapInArrow(
-        run, f"key long, content long, least {kind}, n long, head int, windows int, symbols binary"
-    )
+    found = joined.select("text", "parts").mapInArrow(run, HELD_SCHEMA.format(kind))
+    return found.dropDuplicates(["key", "content"])  # repeated rows hold the same segments
 
 
-def by_hashes(segments_: DataFrame, dtype: type, window: int, earlier: bool) -> DataFrame:
-    """For anchors with very many segments: windows counted by their hashes."""
+def halves(held: DataFrame, low: int, high: int, size: int, window: int) -> DataFrame:
+    """The segments cut in two, after ``of_key`` and ``of_content`` of what they are cut from and
+    the place ``at`` of the half in it. The anchor's place in a window, counted in symbols of
+    ``size`` bytes, is between ``low`` and ``high``, and to one side of their middle in a half."""
+    middle = (low + high) // 2
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(batch.num_rows):
-                values = np.frombuffer(batch.column("symbols")[at].as_buffer(), dtype)
-                own = Stretches(values).fixed(window).view(np.int64)
-                n = len(own)
+            data = [memoryview(s.as_buffer()) for s in batch.column("symbols")]
+            head, windows = (batch.column(c).to_numpy().astype(np.int64) for c in ("head", "windows"))
+            for least, most in ((low, middle), (middle + 1, high)):
+                first = np.maximum(head - most, 0)
+                last = np.minimum(head - least, windows - 1)
+                rows = np.flatnonzero(last >= first)
+                a, b = (first[rows] * size).tolist(), ((last[rows] + window) * size).tolist()
+                cut = [bytes(data[i][x:y]) for i, x, y in zip(rows.tolist(), a, b)]
+                # All windows of the half share what lies between these places
+                a = ((head - least)[rows] * size).tolist()
+                b = ((head - most + window)[rows] * size).tolist()
+                names = (b"%d %d " % (least, most) + data[i][x:y] for i, x, y in zip(rows.tolist(), a, b))
+                take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(pa.array([batch.column(c)[at].as_py()] * n, batch.schema.field(c).type) for c in ("key", "content", "least")),
-                        pa.array(own), pa.array(np.arange(n, dtype=np.int32)),
+                        *(batch.column(c).take(take) for c in ("key", "content")), pa.array(first[rows].astype(np.int32)),
+                        pa.array(digests(names).view(np.int64)),
+                        pa.array(digests(cut).view(np.int64)),
+                        *(batch.column(c).take(take) for c in ("least", "n")),
+                        pa.array((head - first)[rows].astype(np.int32)),
+                        pa.array((last - first + 1)[rows].astype(np.int32)), pa.array(cut, pa.binary()),
+                        pa.array(np.full(len(rows), least >= middle + 1)),
                     ],
-                    names=["key", "content", "least", "hash", "place"],
+                    names=["of_key", "of_content", "at", "key", "content", "least", "n", "head", "windows", "symbols", "late"],
                 )
 
-    kind = segments_.schema["least"].dataType.simpleString()
-    windows = segments_.select("key", "content", "least", "symbols").mapInArrow(
-        hashes, f"key long, content long, least {kind}, hash long, place int"
+    kind = held.schema["least"].dataType.simpleString()
+    return held.mapInArrow(run, f"of_key long, of_content long, at int, {HELD_SCHEMA.format(kind)}, late boolean")
+
+
+def shifted(ranges: str, by: str) -> Column:
+    return F.transform(ranges, lambda r: F.struct((r["a"] + F.col(by)).alias("a"), (r["b"] + F.col(by)).alias("b")))
+
+
+def whole(first: Column, last: Column) -> Column:
+    return F.array(F.struct(first.alias("a"), last.alias("b")))
+
+
+def judged(held: DataFrame, judge: JUDGE, low: int, high: int, size: int, window: int, earlier: bool) -> DataFrame:
+    """key, content and the ranges of repeated windows of the distinct segments ``held``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        return found_table(table.column("key"), table.column("content"), judge(table))
+
+    crowds = cut_lineage(held.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > GROUP))
+    shards = max(1, -(-held.count() // SHARD))
+    tame = held.join(crowds, "key", "left_anti").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+    found = tame.groupBy("shard").applyInArrow(run, FOUND_SCHEMA)
+    if crowds.isEmpty():
+        return cut_lineage(found)
+    found = cut_lineage(found)
+    # One row per crowded key, each of more than GROUP segments
+    crowded = join_by_counts(held, crowds, ["key"], "m").drop("m")
+    parts = cut_lineage(halves(crowded, low, high, size, window))
+    own = F.struct("head", "windows", "symbols").alias("own")
+    distinct = parts.groupBy("late", "key", "content").agg(
+        F.sum("n").alias("n"), F.min("least").alias("least"), F.first(own, ignorenulls=True).alias("own")
     )
-    windows = cut_lineage(windows)
-    least = windows.groupBy("key", "hash").agg(F.count("*").alias("times"), F.min("least").alias("earliest"))
-    again = windows.join(least.where("times > 1"), ["key", "hash"])
-    hit = again.where("earliest < least") if earlier else again
-    return hit.groupBy("key", "content").agg(
-        F.sort_array(F.collect_set(F.struct(F.col("place").alias("a"), F.col("place").alias("b")))).alias("ranges")
+    distinct = cut_lineage(distinct.select("late", "key", "content", "least", "n", "own.*"))
+    middle, below = (low + high) // 2, []
+    for late, least, most in ((False, low, middle), (True, middle + 1, high)):
+        if least < most:
+            half = distinct.where(F.col("late") == late).drop("late")
+            below.append(judged(half, judge, least, most, size, window, earlier))
+        # Windows with the anchor at one place are repeats if their counts say so
+    verdicts = distinct.select("key", "content", F.col("least").alias("__least"), F.col("n").alias("__n"))
+    nothing = found.where("false")
+    for more in below:
+        nothing = nothing.unionByName(more)
+    verdicts = verdicts.join(nothing, ["key", "content"], "left")
+    met = join_by_counts(parts.drop("symbols", "late"), verdicts, ["key", "content"], "__n")
+    settled = F.col("least") > F.col("__least") if earlier else F.col("__n") > 1
+    ranges = F.when(settled, whole(F.col("at"), F.col("at") + F.col("windows") - 1)).otherwise(shifted("ranges", "at"))
+    met = met.withColumn("ranges", ranges).where("ranges is not null")
+    met = met.groupBy(F.col("of_key").alias("key"), F.col("of_content").alias("content")).agg(
+        F.flatten(F.collect_list("ranges")).alias("ranges")
     )
+    return cut_lineage(found.unionByName(met))
 
 
 def repeated_windows(
@@ -139,8 +202,8 @@ def repeated_windows(
     have any. With ``earlier`` a repeat needs a smaller doc_id, else any other place."""
     cuts = cut_lineage(scan(docs, symbols, window, gram))
     keys = cuts.groupBy("key").agg(F.count("*").alias("m"), F.min("content").alias("c0"), F.max("content").alias("c1"))
-    keys = keys.where("m > 1").select("key", (F.col("c0") != F.col("c1")).alias("several"))
-    cuts = cut_lineage(cuts.join(keys, "key"))
+    keys = keys.where("m > 1").select("key", "m", (F.col("c0") != F.col("c1")).alias("several"))
+    cuts = cut_lineage(join_by_counts(cuts, keys, ["key"], "m").drop("m"))
     distinct = cut_lineage(
         cuts.groupBy("key", "content").agg(
             F.count("*").alias("n"),
@@ -150,35 +213,17 @@ def repeated_windows(
     ).withColumn("least", F.col("holder.doc_id"))
     apart = distinct.where("several").select("key", "content", "least", "n", "holder.*")
     held = cut_lineage(contents(docs, apart, symbols, window))
-    crowds = held.groupBy("key").count().where(F.col("count") > GROUP).select("key")
-    crowds = cut_lineage(crowds)
-    shards = max(1, -(-held.count() // SHARD))
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        return found_table(table.column("key"), table.column("content"), judge(table))
-
-    tame = held.join(crowds, "key", "left_anti").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    found = tame.groupBy("shard").applyInArrow(run, FOUND_SCHEMA)
-    if not crowds.isEmpty():
-        crowded = held.join(crowds, "key", "left_semi")
-        found = found.unionByName(by_hashes(crowded, dtype, window, earlier))
-    found = cut_lineage(found)
-    whole = F.array(F.struct(F.col("first").alias("a"), F.col("last").alias("b")))
-    shifted = F.transform(
-        "ranges",
-        lambda r: F.struct((r["a"] + F.col("first")).alias("a"), (r["b"] + F.col("first")).alias("b")),
-    )
+    found = judged(held, judge, 0, window - gram, np.dtype(dtype).itemsize, window, earlier)
     settled = F.col("doc_id") > F.col("least") if earlier else F.col("n") > 1
     verdicts = distinct.where("several or n > 1").join(found, ["key", "content"], "left")
     verdicts = verdicts.select("key", "content", "n", "least", "ranges").where("n > 1 or ranges is not null")
-    return (
-        cuts.select("uid", "doc_id", "key", "content", "first", "last")
-        .join(verdicts, ["key", "content"])
-        .withColumn("ranges", F.when(settled, whole).otherwise(shifted))
+    ranges = F.when(settled, whole(F.col("first"), F.col("last"))).otherwise(shifted("ranges", "first"))
+    return cut_lineage(
+        join_by_counts(cuts.select("uid", "doc_id", "key", "content", "first", "last"), verdicts, ["key", "content"], "n")
+        .withColumn("ranges", ranges)
         .where("ranges is not null")
         .groupBy("uid", "doc_id")
-        .agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+        .agg(F.flatten(F.collect_set("ranges")).alias("ranges"))  # repeated rows have the same
     )
 
 
@@ -197,8 +242,6 @@ def with_ranges(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def covered_by(ranges: pa.ListArray, offsets: np.ndarray, window: int, n: int) -> np.ndarray:
     """Which symbols of a block lie in a window of the ranges of their text."""
-    from aprisco.llm.blocks import covered
-
     flat = ranges.flatten()
     lengths = np.nan_to_num(ranges.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     base = np.repeat(offsets[:-1], lengths)

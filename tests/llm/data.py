@@ -15,6 +15,11 @@ def prose(rng: random.Random, words: int, stock: int = 400) -> str:
     return " ".join(f"w{rng.randrange(stock)}" for _ in range(words))
 
 
+def balanced(k: int, a: str = "a", b: str = "b") -> str:
+    """The Thue-Morse string of length 2**k."""
+    return "".join((a, b)[i.bit_count() % 2] for i in range(1 << k))
+
+
 def awkward(seed: int = 1) -> list[tuple]:
     """Nulls, empty and one-word texts, copies, near copies, passages, long and periodic texts."""
     rng = random.Random(seed)
@@ -30,6 +35,10 @@ def awkward(seed: int = 1) -> list[tuple]:
     texts += [f"{prose(rng, 25)} {passage} tail", passage, f"x {other}\n{other} {passage[40:]}"]
     texts += ["ab " * 700, "a" * 1500, "\n".join(["same line here"] * 40), "ß€😀" * 300, "ß€😀" * 301 + " end"]
     texts += [prose(rng, 9000, 3000), "   ".join(["tie"] * 60)]
+    # Words and lines that polynomial hashes modulo powers of two do not tell apart
+    texts += ["\n".join(balanced(k).translate(str.maketrans("ab", pair)) for pair in ("ab", "ba", "ab")) for k in (10, 11)]
+    texts += [f"{balanced(10, a, b)} " * 50 + tail for a, b, tail in (("a", "b", "x"), ("b", "a", "y"))]
+    texts += [" ".join(balanced(11, a, b)) + f" {tail}" for a, b, tail in (("k", "l", "x"), ("l", "k", "y"))]
     ids = list(range(100, 100 + len(texts)))
     rng.shuffle(ids)
     return [(i, t) for i, t in zip(ids, texts)]
