@@ -10,7 +10,9 @@ from pathlib import Path
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aprisco.llm import decontaminate, fmindex, mixing, neardup, oracles, pii, quality, sharding, suffixes, tokens, urls
+from aprisco.llm import (
+    decontaminate, fim, fmindex, mixing, neardup, oracles, passages, pii, quality, runs, sharding, suffixes, tokens, urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -78,6 +80,18 @@ def op10_benchmark_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_attention_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(table(spark, sf_dir, "documents"))
+
+
 def shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -91,6 +105,7 @@ PLAIN: tuple[Query, ...] = (
 )
 WITH_PYTHON: tuple[Query, ...] = (
     op3_soft_membership, op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
+    op11_piece_table, op12_attention_passages, op13_seed_and_extend,
 )
 QUERIES: dict[str, Query] = {q.__name__: q for q in PLAIN} | {q.__name__: shipped(q) for q in WITH_PYTHON}
 ORACLES: dict[str, str] = {
@@ -98,4 +113,5 @@ ORACLES: dict[str, str] = {
     "op5_deep_shallow": oracles.OP5,
     "op6_superminhash": oracles.OP6,
     "op10_benchmark_grams": oracles.OP10,
+    "op11_piece_table": oracles.OP11,
 }
