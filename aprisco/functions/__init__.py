@@ -6,6 +6,7 @@ from aprisco.functions.columns import (
     not_test_name,
     repair_mojibake,
 )
+from aprisco.functions.sql import register_functions
 
 __all__ = [
     "ceil_to_date",
@@ -13,5 +14,6 @@ __all__ = [
     "is_valid_row",
     "not_excluded_id",
     "not_test_name",
+    "register_functions",
     "repair_mojibake",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aprisco.functions.columns import ceil_to_date
 from aprisco.operators.history import VALID_FROM, VALID_TO
+from aprisco.sources.shared import cut_lineage
 
 
 def _timeline(
@@ -90,7 +91,8 @@ def asof_version_join(
     taken; without a valid one the oldest version of the key; without any version the
     attributes are NULL. ``version_id`` breaks ties between versions of equal start. Facts
     that repeat ``fact_id`` collapse to the best match, unless ``unique_facts`` says that
-    they cannot, which saves a shuffle of the facts.
+    they cannot. Otherwise ids that repeat are found on that column alone and stored, and only
+    facts with such an id are shuffled and ranked.
 
     No fact is ever paired with all versions of its key. The facts are first reduced to
     their distinct (key, date) pairs, before the shuffle, and only those meet the versions,
@@ -126,15 +128,27 @@ def asof_version_join(
             F.when(valid, F.col("at")).otherwise(F.col("oldest")).alias("__v"),
         )
     )
-    joined = facts.join(
-        answer, (F.col(key) == F.col("__key")) & F.col(fact_date).eqNullSafe(F.col("__asked")), "left"
-    )
-    if not unique_facts:
-        best = Window.partitionBy(fact_id).orderBy(
-            F.coalesce("__priority", F.lit(2)), F.col("__v.since"), F.col("__v.tie")
-        )
-        joined = joined.withColumn("__rn", F.row_number().over(best)).where("__rn = 1")
-    return joined.select(
-        *facts.columns,
-        *[F.col(f"__v.attrs.{name}").alias(name) for name in attrs.values()],
+
+    def answered(some: DataFrame) -> DataFrame:
+        asked = (F.col(key) == F.col("__key")) & F.col(fact_date).eqNullSafe(F.col("__asked"))
+        return some.join(answer, asked, "left")
+
+    result = [*facts.columns, *[F.col(f"__v.attrs.{name}").alias(name) for name in attrs.values()]]
+    repeated = None if unique_facts else _repeated_ids(facts, fact_id)
+    if repeated is None:
+        return answered(facts).select(*result)
+    again = F.col(fact_id).eqNullSafe(F.col("__id"))
+    best = Window.partitionBy(fact_id).orderBy(
+        F.coalesce("__priority", F.lit(2)), F.col("__v.since"), F.col("__v.tie")
     )
+    ranked = answered(facts.join(repeated, again, "left_semi")).withColumn("__rn", F.row_number().over(best))
+    single = answered(facts.join(repeated, again, "left_anti"))
+    return single.select(*result).unionByName(ranked.where("__rn = 1").select(*result))
+
+
+def _repeated_ids(facts: DataFrame, fact_id: str) -> DataFrame | None:
+    """The ids of more than one fact, stored, so that their number is known to the plan that
+    uses them; None if there are none."""
+    ids = facts.groupBy(F.col(fact_id).alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+    stored = cut_lineage(ids.where("__n > 1").select("__id"))
+    return None if stored.isEmpty() else stored

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from aprisco.quality import checks as q
 
@@ -77,13 +78,43 @@ class CheckFailed(RuntimeError):
         )
 
 
+ROW_KINDS = ("not_null", "accepted_values")
+
+
+def row_counts(rules: Iterable[Check], table: str) -> dict[str, Column]:
+    """For each row-by-row rule of a table, by its id, the count of rows that break it."""
+    counts = {}
+    for rule in rules:
+        if rule.table == table and rule.kind in ROW_KINDS:
+            column = F.col(rule.columns[0])
+            bad = column.isNull() if rule.kind == "not_null" else ~column.isin(*rule.values)
+            counts[rule.id] = F.count_if(bad)
+    return counts
+
+
+def watch(df: DataFrame, rules: Iterable[Check], table: str) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The rows, and what tells how many of them break each row-by-row rule, once a job has been
+    through all of them: a write then pays for its checks without a scan of its own.
+
+    The rows must be counted by the tasks that deliver them, after the last shuffle. A task there
+    counts once however often it is tried, which is not true of one that feeds a shuffle.
+    """
+    counts = row_counts(rules, table)
+    if not counts:
+        return df, dict
+    observation = Observation()
+    watched = df.observe(observation, *[c.alias(f"c{i}") for i, c in enumerate(counts.values())])
+
+    def found() -> dict[str, int]:
+        seen = observation.get  # empty if there were no rows to be seen
+        return {name: int(seen.get(f"c{i}", 0)) for i, name in enumerate(counts)}
+
+    return watched, found
+
+
 def _row_rules(df: DataFrame, rules: Sequence[Check]) -> DataFrame:
     """Offending rows of all row-by-row rules of a table, counted in one scan."""
-    tests = []
-    for rule in rules:
-        column = F.col(rule.columns[0])
-        bad = column.isNull() if rule.kind == "not_null" else ~column.isin(*rule.values)
-        tests.append((rule.id, F.count_if(bad)))
+    tests = list(row_counts(rules, rules[0].table).items())
     counts = df.agg(*[count.alias(f"c{i}") for i, (_, count) in enumerate(tests)])
     return counts.select(
         F.inline(
@@ -97,25 +128,43 @@ def _row_rules(df: DataFrame, rules: Sequence[Check]) -> DataFrame:
     )
 
 
+def _common_type(spark: SparkSession, kinds: Sequence[DataType]) -> DataType:
+    """The type in which values of these types are compared."""
+    distinct = list(dict.fromkeys(kinds))
+    if len(distinct) == 1:
+        return distinct[0]
+    return spark.range(0).select(F.coalesce(*[F.lit(None).cast(k) for k in distinct])).schema[0].dataType
+
+
 def _key_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) -> DataFrame:
     """Offending values of all ``unique`` and ``relationships`` rules, from one scan per table.
 
     Every row gives its (rule, value) pairs, which are folded on the map side; one exchange
     counts the values of all tables, and one join holds them against the keys of all parents,
-    each read once. Keys are compared as text, which tells the same values apart.
+    each read once. A reference and the key that it refers to are cast to their common type, as a
+    join does it, and compared as text, which tells the same values of a type apart.
     """
     by_table: dict[str, list[tuple[int, Check]]] = defaultdict(list)
     for number, rule in enumerate(rules):
         by_table[rule.table].append((number, rule))
-    text = lambda column: F.col(column).cast("string")
+    parents = list(dict.fromkeys((r.parent, r.field) for r in rules if r.parent))
+    common: dict[tuple, DataType] = {}
+    for table, key in parents:
+        kinds = [relation(table).schema[key].dataType]
+        kinds += [relation(r.table).schema[r.columns[0]].dataType for r in rules if (r.parent, r.field) == (table, key)]
+        common[table, key] = _common_type(relation(table).sparkSession, kinds)
+
+    def text(rule: Check) -> Column:
+        column = F.col(rule.columns[0])
+        return (column.cast(common[rule.parent, rule.field]) if rule.parent else column).cast("string")
+
     scans = []
     for table, own in by_table.items():
-        pairs = [F.struct(F.lit(n).alias("rule"), text(r.columns[0]).alias("value")) for n, r in own]
+        pairs = [F.struct(F.lit(n).alias("rule"), text(r).alias("value")) for n, r in own]
         pair = relation(table).select(F.explode(F.array(*pairs)).alias("pair"))
         scans.append(pair.select("pair.rule", "pair.value").where("value IS NOT NULL"))
     counts = reduce(DataFrame.union, scans).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    parents = list(dict.fromkeys((r.parent, r.field) for r in rules if r.parent))
     if parents:
         parent = F.lit(None).cast("int")
         for number, rule in enumerate(rules):
@@ -123,7 +172,9 @@ def _key_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) ->
                 tag = parents.index((rule.parent, rule.field))
                 parent = F.when(F.col("rule") == number, F.lit(tag)).otherwise(parent)
         known = [
-            relation(table).select(F.lit(tag).alias("parent"), text(key).alias("value"))
+            relation(table).select(
+                F.lit(tag).alias("parent"), F.col(key).cast(common[table, key]).cast("string").alias("value")
+            )
             for tag, (table, key) in enumerate(parents)
         ]
         known = reduce(DataFrame.union, known).distinct().withColumn("known", F.lit(True))
@@ -170,11 +221,12 @@ def count_failures(
 
 
 def run_checks(
-    rules: Iterable[Check], relation: Callable[[str], DataFrame]
+    rules: Iterable[Check], relation: Callable[[str], DataFrame], known: Mapping[str, int] | None = None
 ) -> list[Verdict]:
-    """Verdict of every check. What reaches the driver is one row per check."""
-    rules = list(rules)
-    if not rules:
-        return []
-    found = {r["check_id"]: r["failures"] for r in count_failures(rules, relation).collect()}
+    """Verdict of every check. What reaches the driver is one row per check. ``known`` has the
+    failures of those that were counted already, by ``watch`` say."""
+    rules, found = list(rules), dict(known or {})
+    open_ = [r for r in rules if r.id not in found]
+    if open_:
+        found |= {r["check_id"]: r["failures"] for r in count_failures(open_, relation).collect()}
     return [Verdict(r.id, r.severity, int(found[r.id])) for r in rules]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
@@ -42,7 +42,10 @@ def _compatible(declared: DataType, found: DataType) -> bool:
     if isinstance(declared, DecimalType):
         if type(found) in WHOLE:
             return WHOLE[type(found)] <= declared.precision - declared.scale
-        return isinstance(found, DecimalType)
+        if not isinstance(found, DecimalType):
+            return False
+        room = declared.precision - declared.scale
+        return found.scale <= declared.scale and found.precision - found.scale <= room
     if type(declared) in WHOLE and type(found) in WHOLE:
         return WHOLE[type(found)] <= WHOLE[type(declared)]
     if isinstance(declared, DoubleType):
@@ -52,6 +55,15 @@ def _compatible(declared: DataType, found: DataType) -> bool:
     return declared == found
 
 
+def _widened(name: str, found: DataType, declared: DataType) -> Column:
+    if isinstance(declared, TimestampNTZType) and isinstance(found, TimestampType):
+        # Its moment in UTC, whatever the session's zone is
+        seconds = F.unix_micros(name).cast("decimal(38,0)") / 1_000_000
+        since = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return since + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.col(name).cast(declared)
+
+
 def check_schema(df: DataFrame, name: str) -> DataFrame:
     """Hold a raw table to its declared columns; columns that were added are let through."""
     table = raw_table(name)
@@ -73,7 +85,7 @@ def check_schema(df: DataFrame, name: str) -> DataFrame:
                 f"found {actual.simpleString()}"
             )
         if actual != field.dataType:
-            widened[field.name] = F.col(field.name).cast(field.dataType)
+            widened[field.name] = _widened(field.name, actual, field.dataType)
     return df.withColumns(widened) if widened else df
 
 
