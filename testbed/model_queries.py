@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aprisco.functions import register_functions
 from aprisco.operators import check_snapshot
 from aprisco.plans.models import MODELS, SNAPSHOTS, Warehouse, present
 from aprisco.plans.suite import mart_checks, report_checks, staging_checks
@@ -21,12 +24,18 @@ from aprisco.quality import (
     freshness,
     freshness_metrics,
     ledger_reconciliation,
+    merged_profile,
+    refresh_sketches,
     score_anomalies,
+    stored_sketches,
     volume_metrics,
+    watch,
 )
-from aprisco.quality.runner import count_failures
-from aprisco.sources.schemas import raw_table
-from aprisco.sources.shared import cut_lineage
+from aprisco.quality.runner import ROW_KINDS, count_failures
+from aprisco.quality.sketches import DISTINCT_ERROR
+from aprisco.sources.raw import CAST_LATER, WRITES_AT_A_TIME
+from aprisco.sources.schemas import RawTable, raw_table
+from aprisco.sources.shared import cut_lineage, new_path
 from testbed.farm_raw import raw_sql, raw_zone
 
 # Two snapshot runs. The first sees what had been created by then; before the second, one farm
@@ -105,6 +114,43 @@ def _supply_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _mart_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of the marts as a build makes them: row by row while each mart is written, the
+    others on what is stored."""
+    w, rules = warehouse(spark, sf_dir), mart_checks()
+    for name in SNAPSHOTS:
+        w.stored[name] = cut_lineage(w[name])
+    names = list(dict.fromkeys(t for r in rules for t in (r.table, r.parent) if t))
+    plans = {name: w[name] for name in names}
+
+    def store(name: str) -> tuple[DataFrame, dict[str, int]]:
+        rows, count = watch(plans[name], rules, name)
+        return cut_lineage(rows), count()
+
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        stored = dict(zip(names, pool.map(inheritable_thread_target(spark)(store), names)))
+    counts = [
+        F.struct(F.lit(check).alias("check_id"), F.lit(n).cast("long").alias("failures"))
+        for _, found in stored.values()
+        for check, n in found.items()
+    ]
+    others = count_failures([r for r in rules if r.kind not in ROW_KINDS], lambda name: stored[name][0])
+    return others.unionByName(spark.range(1).select(F.inline(F.array(*counts))))
+
+
+def _by_sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two staging models written in SQL."""
+    register_functions(spark)
+    zone = raw_zone(spark, sf_dir)
+    return spark.sql(
+        "SELECT id_registro, repara_texto(resultado) AS resultado FROM {palpations} "
+        "WHERE es_registro_valido(estado_registro) AND no_es_prueba(finca_asociada) UNION ALL "
+        "SELECT id_registro, tipo_transaccion FROM {transactions} "
+        "WHERE es_registro_valido(estado_registro) AND no_es_id_excluido(id_finca)",
+        palpations=zone.table("palpamientos"), transactions=zone.table("transacciones_financieras"),
+    )
+
+
 # What a refresh would have stored before the checks of marts and reports read it many times.
 STORED_FIRST = (*SNAPSHOTS, "fct_movimiento_insumo")
 
@@ -126,7 +172,25 @@ def _suite(
 
 RAW_NOW = datetime(2024, 2, 5)
 WATCHED = [raw_table(name) for name in raw_sql()]
-PROFILED = raw_table("movimientos_insumos")
+#: Columns of the raw tables whose schema is not declared
+UNDECLARED = {
+    "tb_dim_roles": "id_rol string, fecha_creacion date",
+    "tb_dim_usuarios": "id_usuario string, fecha_creacion date",
+    "tb_dim_catalogo_categorias_insumos": "id_item string, fecha_creacion date",
+    "tb_dim_catalogo_unidades_insumos": "id_item string, fecha_creacion date",
+    "tb_fact_periodos_consumo_insumos": (
+        "id_registro string, id_usuario string, canal_captura string, estado_registro string, "
+        "id_registro_correccion string, timestamp_registro timestamp_ntz"
+    ),
+    "tb_fact_logs_actividad": "id_registro string, estado_registro string, timestamp_evento timestamp_ntz",
+}
+
+
+def _columns(table: RawTable) -> list[tuple[str, str]]:
+    if table.schema is not None:
+        # What staging casts arrives as text
+        return [(f.name, "string" if f.name in CAST_LATER else f.dataType.simpleString()) for f in table.schema]
+    return [tuple(c.split(" ")) for c in UNDECLARED[table.table].split(", ")]
 
 
 def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,9 +229,40 @@ def _raw_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_anomalies(freshness_metrics(_loads(spark, sf_dir), RAW_NOW))
 
 
-def _raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = raw_zone(spark, sf_dir).table(PROFILED.name)
-    return column_metrics(rows, PROFILED.table, run_date=RAW_NOW.date(), exact=True)
+def _exact_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of all raw tables, stored, as each table is a plan of its own."""
+    zone = raw_zone(spark, sf_dir)
+
+    def profile(table: RawTable) -> DataFrame:
+        return cut_lineage(column_metrics(zone.table(table.name), table.table, run_date=RAW_NOW.date(), exact=True))
+
+    for table in WATCHED:
+        zone.table(table.name)
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        return reduce(DataFrame.union, pool.map(inheritable_thread_target(spark)(profile), WATCHED))
+
+
+def _sketched_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from stored sketches, of facts in two loads, the first without the void rows. The
+    estimates of distinct values are held to the exact ones by their stated error."""
+    zone = raw_zone(spark, sf_dir)
+
+    def sketch(table: RawTable) -> DataFrame:
+        rows, path = zone.table(table.name), new_path(spark)
+        if table.is_fact:
+            refresh_sketches(rows.where("estado_registro <> 'Anulado'"), table.table, table.loaded_at, path)
+        refresh_sketches(rows, table.table, table.loaded_at, path)
+        return stored_sketches(spark, path)
+
+    for table in WATCHED:
+        zone.table(table.name)
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        sketches = reduce(DataFrame.union, pool.map(inheritable_thread_target(spark)(sketch), WATCHED))
+    exact = _exact_profile(spark, sf_dir).where("metrica = 'distinct_count'").select("tabla", "columna", F.col("valor").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * DISTINCT_ERROR + 1
+    return merged_profile(sketches).join(exact, ["tabla", "columna"]).select(
+        "tabla", "columna", "n", "null_count", "min_value", "max_value", near.alias("distinct_is_near")
+    )
 
 
 RAW_CHECKS = {
@@ -175,7 +270,8 @@ RAW_CHECKS = {
     "raw_reconciliation": _raw_reconciliation,
     "raw_volume_anomalies": _raw_volume,
     "raw_freshness_anomalies": _raw_gaps,
-    "raw_column_profile": _raw_profile,
+    "raw_column_profile": _exact_profile,
+    "raw_profile_sketched": _sketched_profile,
 }
 
 
@@ -193,7 +289,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "exactitud_existencia_insumo_vs_ledger": _supply_ledger,
         **RAW_CHECKS,
         "suite_staging": _suite(SUITES["suite_staging"]),
-        "suite_marts": _suite(SUITES["suite_marts"], STORED_FIRST),
+        "suite_marts": _mart_suite,
+        "sql_functions": _by_sql_functions,
         "suite_reporting": _suite(SUITES["suite_reporting"], STORED_FIRST),
     }
 
@@ -477,28 +574,31 @@ def _raw_check_sql(relations: dict[str, str]) -> dict[str, str]:
         volume_sql(t.table, t.loaded_at, str(RAW_NOW.date())) for t in WATCHED
     )
     gaps = " UNION ALL ".join(gap_sql(t.table, t.loaded_at, str(RAW_NOW)) for t in WATCHED)
-    profile = []
-    for column in PROFILED.schema:
-        c, kind = column.name, column.dataType.simpleString()
-        suffix, measured = {
-            "string": ("_length", f"length({c})"),
-            "date": ("", f"({c} - DATE '1970-01-01')"),
-            "timestamp_ntz": ("", f"epoch_us({c})"),
-        }.get(kind, ("", c))
-        profile += [
-            (name, c, value)
-            for name, value in (
-                ("null_count", f"count(*) FILTER ({c} IS NULL)"),
-                ("distinct_count", f"count(DISTINCT {c})"),
-                (f"min{suffix}", f"min({measured})"),
-                (f"max{suffix}", f"max({measured})"),
+    profiled, ranges = [], []
+    for t in WATCHED:
+        for c, kind in _columns(t):
+            suffix, measured = {
+                "string": ("_length", f"length({c})"),
+                "date": ("", f"({c} - DATE '1970-01-01')"),
+                "timestamp_ntz": ("", f"epoch_us({c})"),
+                "boolean": ("", f"CAST({c} AS INT)"),
+            }.get(kind, ("", c))
+            profiled += [
+                f"SELECT '{t.table}' AS tabla, '{m}' AS metrica, '{c}' AS columna, "
+                f"DATE '{RAW_NOW.date()}' AS bucket, CAST({value} AS DOUBLE) AS valor FROM {t.table}"
+                for m, value in (
+                    ("null_count", f"count(*) FILTER ({c} IS NULL)"),
+                    ("distinct_count", f"count(DISTINCT {c})"),
+                    (f"min{suffix}", f"min({measured})"),
+                    (f"max{suffix}", f"max({measured})"),
+                )
+            ]
+            ranges.append(
+                f"SELECT '{t.table}' AS tabla, '{c}' AS columna, count(*) AS n, count(*) FILTER ({c} IS NULL) AS null_count, "
+                f"CAST(min({measured}) AS DOUBLE) AS min_value, CAST(max({measured}) AS DOUBLE) AS max_value, "
+                f"true AS distinct_is_near FROM {t.table} HAVING count(*) > 0"
             )
-        ]
-    profiled = " UNION ALL ".join(
-        f"SELECT '{PROFILED.table}' AS tabla, '{m}' AS metrica, '{c}' AS columna, "
-        f"DATE '{RAW_NOW.date()}' AS bucket, CAST({value} AS DOUBLE) AS valor FROM {PROFILED.table}"
-        for m, c, value in profile
-    )
+    profiled, ranges = " UNION ALL ".join(profiled), " UNION ALL ".join(ranges)
     raw = {t.table: relations[t.table] for t in WATCHED}
     scored = scored_sql(f"series AS ({volumes})").replace("WITH ", "", 1)
     ctes = ", ".join(f"{name} AS MATERIALIZED ({query})" for name, query in raw.items())
@@ -509,6 +609,7 @@ def _raw_check_sql(relations: dict[str, str]) -> dict[str, str]:
         "raw_freshness_anomalies": f"WITH {ctes}, "
         + scored_sql(f"series AS ({gaps})").replace("WITH ", "", 1),
         "raw_column_profile": f"SELECT * FROM ({with_relations(profiled, raw)}) WHERE valor IS NOT NULL",
+        "raw_profile_sketched": with_relations(ranges, raw),
     }
 
 
@@ -554,6 +655,11 @@ def oracle_sql() -> dict[str, str]:
     sql = {n: with_relations(relations[n], {k: v for k, v in relations.items() if k != n}) for n in names}
     sql.update({name: sql[report] for name, report in PRESENTED.items()})
     sql.update(_raw_check_sql(relations))
+    sql["sql_functions"] = with_relations(
+        "SELECT id_registro, resultado FROM stg_palpamientos UNION ALL "
+        "SELECT id_registro, tipo_transaccion FROM stg_transacciones_financieras",
+        relations,
+    )
     for name, rules in SUITES.items():
         union = " UNION ALL ".join(_rule_sql(r) for r in rules())
         sql[name] = with_relations(union, relations)

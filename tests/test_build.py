@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -271,3 +272,85 @@ def test_a_table_that_falls_silent_or_empty_shows(spark, tmp_path):
     status = {v.check_id: v.status for v in run.verdicts}
     assert status["freshness_tb_dim_catalogo_lotes"] == "not_computable"
     assert status["volume_anomalies_tb_dim_catalogo_lotes"] == "warn"
+
+
+def _no_run_stamps(rows):
+    return sorted((tuple(r) for r in rows.collect()), key=repr)
+
+
+def test_other_forms_of_storage_build_the_same(spark, built, tmp_path):
+    """Facts in parts, histories in buckets and a time limit change where rows lie, not what they are."""
+    _, first, _ = built
+    content = farm_rows()
+    options = {"changed_only": True, "history_buckets": 4, "limit_seconds": 600.0}
+    run = build(spark, raw_zone(spark, content), str(tmp_path), datetime(2026, 3, 17), **options)
+    for name, model in MODELS.items():
+        if model.layer in ("snapshots", "marts", "reporting"):
+            assert run.warehouse[name].columns == first.warehouse[name].columns
+    status = {v.check_id: (v.failures, v.status) for v in run.verdicts}
+    assert status == {v.check_id: (v.failures, v.status) for v in first.verdicts if v.check_id in status}
+    assert len(status) == 127 + 126 + 15 + 1
+
+    content["pesaje_leche"].append(
+        fact("w9", fecha_pesaje=date(2026, 3, 16), ordeno="Tarde", id_animal="a1", arete_animal="1", litros=Decimal(2))
+    )
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("marts/fct_*/parts/**/*.parquet")}
+    again = build(spark, raw_zone(spark, content), str(tmp_path), datetime(2026, 3, 18), **options)
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("marts/fct_*/parts/**/*.parquet")}
+    assert {p: after[p] for p in before} == before
+    assert ["fecha_pesaje=2026-03-16" in str(p) for p in set(after) - set(before)] == [True]
+    whole = build(spark, raw_zone(spark, content), str(tmp_path / "whole"), datetime(2026, 3, 18))
+    for name in ("fct_pesaje", "fct_movimiento_insumo", "rpt_pesaje_resumen_diario"):
+        assert _no_run_stamps(again.warehouse[name]) == _no_run_stamps(whole.warehouse[name])
+
+
+def test_a_failed_write_is_tried_again_and_a_build_goes_on(spark, tmp_path, monkeypatch):
+    module = sys.modules["aprisco.plans.build"]
+    written, failing = [], {"fct_venta_leche": 1, "fct_composicion_leche": 9}
+    write = module.Build._write_mart
+
+    def flaky(self, model, rows, path):
+        written.append(model.name)
+        if failing.get(model.name, 0) > 0:
+            failing[model.name] -= 1
+            raise OSError("store is away")
+        return write(self, model, rows, path)
+
+    monkeypatch.setattr(module.Build, "_write_mart", flaky)
+    zone = raw_zone(spark, farm_rows())
+    with pytest.raises(OSError, match="store is away"):
+        build(spark, zone, str(tmp_path), NOW, domains=["leche"])
+    assert written.count("fct_venta_leche") == 2 and written.count("fct_composicion_leche") == 2
+    failing.clear()
+    written.clear()
+    run = build(spark, zone, str(tmp_path), NOW, domains=["leche"], resume=True)
+    assert written == ["fct_composicion_leche"]
+    whole = build(spark, zone, str(tmp_path / "whole"), NOW, domains=["leche"])
+    key = lambda r: sorted((v.check_id, v.failures, v.status) for v in r.verdicts)
+    assert key(run) == key(whole)
+    assert run.warehouse["rpt_calidad_leche_reciente"].count() == whole.warehouse["rpt_calidad_leche_reciente"].count()
+
+
+def test_marts_are_not_scanned_for_row_checks(spark, tmp_path):
+    """What breaks not_null and accepted_values is counted by the writes."""
+    from aprisco.plans.suite import mart_checks
+    from aprisco.quality.runner import ROW_KINDS, count_failures
+
+    run = build(spark, raw_zone(spark, farm_rows()), str(tmp_path), NOW, domains=["hato"])
+    rules = [r for r in mart_checks() if r.table in {m.name for m in run.models("marts")}]
+    scans = lambda some: count_failures(some, run.relation)._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    others = [r for r in rules if r.kind not in ROW_KINDS]
+    assert scans(others) == scans(rules) - len({r.table for r in rules if r.kind in ROW_KINDS})
+    kept = spark.read.parquet(f"{tmp_path}/metadata/progress/fct_salida")
+    assert kept.where("check_id = 'not_null_fct_salida__motivo' and failures = 0").count() == 1
+
+
+def test_a_row_check_that_a_write_counted_stops_the_build(spark, tmp_path, monkeypatch):
+    from aprisco.plans import suite
+    from aprisco.quality import Check
+
+    extra = Check("not_null", "dim_animal", ("arete",))
+    monkeypatch.setitem(SUITE, "marts", lambda: [*suite.mart_checks(), extra])
+    with pytest.raises(BuildFailed) as failed:
+        build(spark, raw_zone(spark, farm_rows()), str(tmp_path), NOW, domains=["hato"])
+    assert [(v.check_id, v.failures) for v in failed.value.verdicts if v.status == "fail"] == [(extra.id, 2)]

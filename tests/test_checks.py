@@ -172,3 +172,31 @@ def test_key_checks_read_each_table_once(spark, tmp_path, rows):
     )
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2 + 2  # a scan per table for its own rules, one per parent key
+
+
+def test_references_are_compared_in_their_common_type(spark):
+    tables = {
+        "child": spark.createDataFrame([(Decimal(1),), (Decimal("2.5"),), (None,)], "k decimal(38,9)"),
+        "parent": spark.createDataFrame([(1,), (2,)], "k bigint"),
+        "small": spark.createDataFrame([(1,), (7,)], "k int"),
+    }
+    rules = [Check("relationships", t, ("k",), parent="parent", field="k") for t in ("child", "small")]
+    verdicts = {v.check_id: v.failures for v in run_checks(rules, tables.__getitem__)}
+    assert [verdicts[r.id] for r in rules] == [1, 1]
+    for rule in rules:
+        assert rule.failing(tables.__getitem__).count() == 1
+
+
+def test_rows_are_watched_while_they_are_written(spark, tmp_path):
+    from aprisco.quality import watch
+
+    df = spark.createDataFrame([("a", "x"), (None, "y"), (None, None)], "k string, v string").repartition(3)
+    rules = [Check("not_null", "t", ("k",)), Check("accepted_values", "t", ("v",), values=("x",)), Check("unique", "t", ("k",))]
+    for name, rows, expected in (("some", df, [2, 1]), ("none", df.limit(0), [0, 0])):
+        watched, found = watch(rows, rules, "t")
+        watched.write.parquet(f"{tmp_path}/{name}")
+        assert list(found().values()) == expected and list(found()) == [r.id for r in rules[:2]]
+    same, nothing = watch(df, rules, "other")
+    assert same is df and nothing() == {}
+    known = {rules[0].id: 2, rules[1].id: 1}
+    assert [v.failures for v in run_checks(rules, lambda name: df, known)] == [2, 1, 0]

@@ -264,3 +264,25 @@ def test_raw_from_a_database(spark):
     frame(spark, "roles", [{"fecha_creacion": JAN}]).createOrReplaceTempView("tb_dim_roles")
     zone = RawZone(lambda table: spark.table(table))
     assert zone.table("roles").count() == 1
+
+
+@pytest.mark.parametrize(("found", "fits"), [("decimal(38,18)", False), ("decimal(38,9)", True), ("decimal(20,4)", True), ("decimal(38,4)", False)])
+def test_decimals_are_taken_only_if_nothing_is_lost(spark, found, fits):
+    rows = frame(spark, "catalogo_insumos", farm_rows()["catalogo_insumos"])
+    rows = rows.withColumn("existencia_actual", F.lit(1).cast(found))
+    if fits:
+        assert dict(check_schema(rows, "catalogo_insumos").dtypes)["existencia_actual"] == "decimal(38,9)"
+    else:
+        with pytest.raises(SchemaDrift, match="existencia_actual"):
+            check_schema(rows, "catalogo_insumos")
+
+
+def test_moments_become_utc_whatever_the_sessions_zone(spark):
+    rows = frame(spark, "salidas", farm_rows()["salidas"])
+    rows = rows.withColumn("timestamp_registro", F.timestamp_micros(F.lit(1_750_000_000_123_456)))
+    spark.conf.set("spark.sql.session.timeZone", "America/Panama")
+    try:
+        got = check_schema(rows, "salidas").select(F.col("timestamp_registro").cast("string")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == "2025-06-15 15:06:40.123456"
