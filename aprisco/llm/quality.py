@@ -1,8 +1,10 @@
 """Quality rules: exact rule statistics of whole texts, and an isolation forest over them.
 
-The rule statistics of every document come from one pass. An isolation forest (random splits on
-random subsamples; short paths mean odd documents) is grown on the statistics of a bounded number
-of labelled documents, and the score above which a document goes is calibrated on all of them:
+The rule statistics of every document come from one pass. What the forest sees of them is by how
+much they lie outside the range of good labelled documents, so that what is usual is alike and only
+what is unusual can be odd. An isolation forest (random splits on random subsamples; short paths
+mean odd documents) is grown on a bounded number of labelled documents that pass the base rules,
+and the score above which a document goes is calibrated on all labelled ones:
 from the lowest one that rejects no more than ``max_good_loss`` of the labelled good documents,
 and ten others for each of these, halfway up to where 95 % of those others still lie above.
 
@@ -15,7 +17,7 @@ along untouched by ``keep_good``, whatever they are called.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -163,11 +165,18 @@ class Forest:
 class QualityModel:
     forest: Forest | None
     threshold: float
+    low: np.ndarray | None = None  # range of the features of good documents
+    high: np.ndarray | None = None
+
+    def excess(self, x: np.ndarray) -> np.ndarray:
+        """By how much of its width each feature lies outside its range."""
+        width = np.where(self.high > self.low, self.high - self.low, 1.0)
+        return (np.maximum(0, x - self.high) + np.maximum(0, self.low - x)) / width
 
     def judge(self, counts: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """base_failed, anomaly score, kept."""
         failed = base_failed(counts)
-        score = self.forest.score(features(counts)) if self.forest else np.zeros(len(failed))
+        score = self.forest.score(self.excess(features(counts))) if self.forest else np.zeros(len(failed))
         return failed, score, ~failed & (score < self.threshold)
 
 
@@ -192,22 +201,32 @@ def fit_quality(
     labels: DataFrame,
     fit_rows: int = 20_000,
     max_good_loss: float = 0.001,
+    tail: float = 0.0005,
+    margin: float = 0.25,
     trees: int = 100,
     bins: int = 4096,
 ) -> QualityModel:
-    """Forest from about ``fit_rows`` labelled documents at most, drawn by the hash of their id; threshold from all labelled ones, by a histogram of their scores. ``statistics`` should
-    be a stored table, as it is read twice."""
+    """Forest from about ``fit_rows`` labelled documents at most, drawn by the hash of their id;
+    threshold from all labelled ones, by a histogram of their scores. The range of a feature leaves
+    out a share ``tail`` of the good documents drawn at either end, and reaches ``margin`` of its
+    width further. ``statistics`` should be a stored table, as it is read twice."""
     labelled = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality is not null")
     rows = cut_lineage(statistics.join(labelled, "doc_id"))
     share = min(1.0, fit_rows / max(rows.count(), 1))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("forest")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)
     # An id counts once, however many rows have it
-    sample = rows.where(drawn).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("c")).select("c.*")
-    sample = sample.toPandas().sort_values(list(COUNTS))
-    if len(sample) < 2:
+    sample = rows.where(drawn).groupBy("doc_id").agg(F.min(F.struct(*COUNTS, "quality")).alias("c")).select("c.*")
+    sample = sample.toPandas().sort_values([*COUNTS, "quality"])
+    sample = sample[~base_failed({c: sample[c].to_numpy() for c in COUNTS})]
+    good_rows = sample.quality.to_numpy() > 0
+    if len(sample) < 2 or not good_rows.any():
         return QualityModel(None, 2.0)
-    forest = Forest.grow(features({c: sample[c].to_numpy() for c in COUNTS}), trees)
-    unbound = QualityModel(forest, 2.0)
+    x = features({c: sample[c].to_numpy() for c in COUNTS})
+    low = np.quantile(x[good_rows], tail, axis=0, method="lower")
+    high = np.quantile(x[good_rows], 1 - tail, axis=0, method="higher")
+    unbound = QualityModel(None, 2.0, low - margin * (high - low), high + margin * (high - low))
+    forest = Forest.grow(unbound.excess(x), trees)
+    unbound = replace(unbound, forest=forest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,11 +249,11 @@ def fit_quality(
     allowed = (good_above <= max_good_loss * good.sum()) & (bad_above > 10 * good_above)
     found = np.flatnonzero(allowed)
     if not len(found):
-        return QualityModel(forest, 2.0)
+        return unbound
     # Where nearly as many of the others lie higher up, the border goes halfway to them
-    low = int(found[0])
-    high = int(np.flatnonzero(bad_above >= 0.95 * bad_above[low])[-1])
-    return QualityModel(forest, (low + max(low, high)) / 2 / bins)
+    least = int(found[0])
+    most = int(np.flatnonzero(bad_above >= 0.95 * bad_above[least])[-1])
+    return replace(unbound, threshold=(least + max(least, most)) / 2 / bins)
 
 
 def judge_statistics(statistics: DataFrame, model: QualityModel) -> DataFrame:

@@ -101,10 +101,10 @@ def shipped(query: Query) -> Query:
 
 
 PLAIN: tuple[Query, ...] = (
-    op1_hypergeometric_shards, op2_boosted_candidates, op9_language_model_ratio, op10_benchmark_grams,
+    op2_boosted_candidates, op9_language_model_ratio, op10_benchmark_grams,
 )
 WITH_PYTHON: tuple[Query, ...] = (
-    op3_soft_membership, op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
+    op1_hypergeometric_shards, op3_soft_membership, op4_fm_index, op5_deep_shallow, op6_superminhash, op7_isolation_forest, op8_two_tier_tokens,
     op11_piece_table, op12_attention_passages, op13_seed_and_extend,
 )
 QUERIES: dict[str, Query] = {q.__name__: q for q in PLAIN} | {q.__name__: shipped(q) for q in WITH_PYTHON}

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from aprisco.llm.skew import join_by_counts
 from aprisco.sources.shared import cut_lineage
 
 ORDER = 5  # characters of the longest gram: four of context and the next one
@@ -92,15 +93,17 @@ def markov_tables(taught: DataFrame) -> tuple[DataFrame, dict[str, float]]:
 
 
 def gram_ratios(seen: DataFrame, taught: DataFrame) -> DataFrame:
-    """The log ratio of the two models' chances of each distinct gram's last character."""
+    """The log ratio of the two models' chances of each distinct gram's last character, and how
+    often the gram occurs."""
     stats, empty = markov_tables(taught)
-    distinct = seen.select("gram").distinct()
+    distinct = cut_lineage(seen.groupBy("gram").agg(F.count("*").alias("times")))
     parts = [F.struct(F.lit(f"s{n}").alias("role"), F.substr("gram", F.lit(ORDER + 1 - n), F.lit(n)).alias("string")) for n in range(1, ORDER + 1)]
     parts += [F.struct(F.lit(f"c{n}").alias("role"), F.substr("gram", F.lit(ORDER + 1 - n), F.lit(n - 1)).alias("string")) for n in range(2, ORDER + 1)]
-    needed = distinct.select("gram", F.explode(F.array(*parts)).alias("p")).select("gram", "p.role", "p.string")
+    needed = distinct.select("gram", "times", F.explode(F.array(*parts)).alias("p")).select("gram", "times", "p.role", "p.string")
     joined = needed.join(stats, "string", "left")
     pick = lambda role, c: F.coalesce(F.max(F.when(F.col("role") == role, F.col(c))), F.lit(0)).cast("double")
     wide = joined.groupBy("gram").agg(
+        F.first("times").alias("times"),
         *(pick(f"s{n}", f"n_{x}").alias(f"n{n}_{x}") for n in range(1, ORDER + 1) for x in "ar"),
         *(pick(f"c{n}", f"{v}_{x}").alias(f"{v}{n}_{x}") for n in range(2, ORDER + 1) for v in "tk" for x in "ar"),
     )
@@ -111,14 +114,14 @@ def gram_ratios(seen: DataFrame, taught: DataFrame) -> DataFrame:
             smoothed = (F.col(f"n{n}_{x}") + k * chance) / (t + k)
             wide = wide.withColumn(f"p{n}_{x}", F.when(t > 0, smoothed).otherwise(chance))
             chance = F.col(f"p{n}_{x}")
-    return wide.select("gram", (F.log(f"p{ORDER}_a") - F.log(f"p{ORDER}_r")).alias("ratio"))
+    return wide.select("gram", "times", (F.log(f"p{ORDER}_a") - F.log(f"p{ORDER}_r")).alias("ratio"))
 
 
 def score_urls(urls: DataFrame) -> DataFrame:
     """url and score of distinct URLs with ``accepted`` (null: no rule) and ``held`` (held out)."""
     seen = grams(urls)
     ratios = gram_ratios(seen, seen.where("accepted is not null and not held"))
-    return seen.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score"))
+    return join_by_counts(seen, ratios, ["gram"], "times").groupBy("url").agg(F.avg("ratio").alias("score"))
 
 
 def calibrated(scored: DataFrame) -> float:
@@ -147,7 +150,9 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
     own = own.withColumn("rule", rule).withColumn("says", verdict)
     held = F.pmod(F.xxhash64("url"), F.lit(10)) == 0
     distinct = own.where("url is not null").groupBy("url").agg((F.first("says") == "allow").alias("accepted"))
-    distinct = cut_lineage(distinct.withColumn("held", held))
+    # A URL makes many grams, so its table is small but its work is not: it is kept in many files
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = cut_lineage(distinct.withColumn("held", held).repartition(parts, "url"))
     scores = cut_lineage(distinct.join(score_urls(distinct), "url", "left"))
     sorts = distinct.where("not held").agg(F.max("accepted").alias("a"), F.min("accepted").alias("r")).first()
     both = sorts["a"] is True and sorts["r"] is False

@@ -31,6 +31,17 @@ def test_matrix_sums_are_exact():
     assert matrix.sum(1).tolist() == [10, 0, 25, 7] and matrix.sum(0).tolist() == [11, 11, 10, 10]
 
 
+def test_matrix_of_two_levels_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "GROUP_BLOCKS", 4)
+    sizes, rows = [40, 40, 39], [(b, 3 + b) for b in range(14) if b != 5]
+    counts = spark.createDataFrame(rows, "b int, count long")
+    assert sum(n for _, n in rows) == 125
+    sizes = [42, 42, 41]
+    got = {r.b: np.diff([0, *r.u]) for r in sharding.upto_by_block(spark, counts, "b", "u", sizes, 3).collect()}
+    assert {b: int(v.sum()) for b, v in got.items()} == dict(rows) and (np.array(list(got.values())) >= 0).all()
+    assert sum(got.values()).tolist() == sizes
+
+
 @pytest.mark.parametrize("per_bucket", [50_000, 7])
 def test_shards_are_exact_and_keep_all_columns(spark, per_bucket):
     rows = [(i % 50, None if i % 9 == 0 else "t" * (i % 4), "old", i) for i in range(203)]
@@ -43,6 +54,10 @@ def test_shards_are_exact_and_keep_all_columns(spark, per_bucket):
     assert all(v == list(range(len(v))) for v in by.values())
     assert sorted(map(len, by.values())) == [25] * 5 + [26] * 3
     assert sharding.shard_uniformly(df.limit(0)).collect() == []
+    far = sharding.shard_uniformly(df, 8, rows_per_bucket=per_bucket, broadcast_cells=0)
+    assert sorted(tuple(r) for r in far.select("`__key.x`", "shard", "slot").collect()) == sorted(
+        (r["__key.x"], r.shard, r.slot) for r in got
+    )
     with pytest.raises(ValueError):
         sharding.shard_uniformly(df, 0)
 
@@ -109,6 +124,8 @@ def test_forest_rejects_anomalies_and_keeps_the_rest(spark):
     stay = quality.keep_good(wide, labels)
     assert stay.columns == wide.columns
     assert {r.doc_id for r in stay.collect()} == {i for i, r in got.items() if r.kept}
+    # The forest decides on documents whose labels it has not seen
+    assert sum(not got[i].kept and not got[i].base_failed for i in range(401, 440, 2)) > 10
     bare = quality.quality_verdicts(df, labels.limit(0)).collect()
     assert all(r.kept == (not r.base_failed) for r in bare) and len(bare) == len(docs)
     assert quality.quality_verdicts(df.limit(0), labels).collect() == []
@@ -348,3 +365,17 @@ def test_urls_without_two_sorts(spark):
     pages = spark.createDataFrame([(1, "http://x.io/a"), (2, None)], "page_id long, url string")
     assert [r.verdict for r in urls.judge_urls(pages).collect()] == ["allow", "allow"]
     assert urls.judge_urls(pages.limit(0)).collect() == []
+
+
+def test_forest_scores_are_mean_path_lengths():
+    rng = np.random.default_rng(16)
+    x = np.round(rng.random((300, 3)), 2) * [1, 0, 5]
+    forest = quality.Forest.grow(x, trees=7, rows=64)
+    for row, score in zip(x[:40], forest.score(x[:40])):
+        paths = []
+        for f, s, a, b, p in zip(forest.feature, forest.split, forest.left, forest.right, forest.path):
+            at = 0
+            while a[at] != at:
+                at = a[at] if row[f[at]] <= s[at] else b[at]
+            paths.append(p[at])
+        assert abs(score - 2 ** (-np.mean(paths) / forest.norm)) < 1e-12
