@@ -4,13 +4,15 @@ A classifier trained on labelled documents gives every document a posterior over
 nonnegative rate of each document is found by projected-gradient least squares: so that the
 expected tokens of each domain, summed over all documents by rate, tokens and posterior, meet the
 targets. The gradient of a document's rate is its tokens times its posterior times what the domains
-are off by, so the sum of all steps is one number per domain, and the rate is the projection of one
-less its tokens times posterior times that sum. A pass over all documents gives what the domains
+are off by; distances between rates count by token, so a step moves a rate by the posterior alone and
+does not favour short or long documents. The sum of all steps is one number per domain, and the rate
+is the projection of one less the posterior times that sum. A pass over all documents gives what the domains
 are off by and the Gram matrix of the documents whose rate is not held at zero, which scales the
 next step; steps end when the optimality condition holds. There is no state to keep or lose.
 
-Of all rates that meet the targets these are the nearest to one. Targets that no rates meet are
-met as nearly as least squares has it, which ``fit_rates`` tells by what it is still off by.
+Of all rates that meet the targets these are the nearest to one, token by token. Targets that no
+rates meet, or only few documents many times over, cost most documents their place; ``pull`` weighs
+the distance of the rates to one against what the targets are missed by, and keeps rates moderate.
 
 Defined results: null, empty and word-less texts have no tokens and keep rate 1. Repeated rows get
 equal rates. Labels with nulls are left out; without labels of at least two domains all rates are
@@ -74,7 +76,7 @@ class MixModel:
     def rates(self, p: np.ndarray, n: np.ndarray) -> np.ndarray:
         if not self.sum_of_steps:
             return np.ones(len(n))
-        return np.maximum(0.0, 1.0 - n * (p @ np.array(self.sum_of_steps)))
+        return np.where(n > 0, np.maximum(0.0, 1.0 - p @ np.array(self.sum_of_steps)), 1.0)
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000) -> MixModel:
@@ -129,15 +131,16 @@ def rate_column(sum_of_steps: tuple[float, ...]) -> Column:
     if not sum_of_steps:
         return F.lit(1.0)
     toward = sum((F.col(f"p_{d}") * F.lit(float(s)) for d, s in zip(DOMAINS, sum_of_steps)), F.lit(0.0))
-    return F.greatest(F.lit(0.0), F.lit(1.0) - F.col("n_tokens") * toward)
+    return F.when(F.col("n_tokens") > 0, F.greatest(F.lit(0.0), F.lit(1.0) - toward)).otherwise(1.0)
 
 
-def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, tolerance: float = 1e-5) -> tuple[float, ...]:
+def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, tolerance: float = 1e-5, pull: float = 1e-10) -> tuple[float, ...]:
     """The sum of the projected-gradient steps at which the least squares are optimal to
     ``tolerance`` of all tokens. ``members`` should be a stored table; a pass reads it once.
 
-    A trace of the distance to rates of one is added to the squares, which makes the optimum
-    unique and every step a descent; steps that do not lower the residual enough are halved.
+    The distance to rates of one is added to the squares, by ``pull`` of the first Gram matrix'
+    trace. However small, it makes the optimum unique and every step a descent; steps that do not
+    lower the objective enough are halved.
     """
     k = len(DOMAINS)
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -145,11 +148,11 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, toleranc
     n = F.col("n_tokens").cast("double")
 
     def look(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Tokens by domain, the Gram matrix of the rates above zero, and half their squares."""
+        """Tokens by domain, the Gram matrix of the rates above zero, and half their squares, by token."""
         rate = rate_column(tuple(steps.tolist()))
-        free = F.when(rate > 0, n * n).otherwise(0.0)
+        free = F.when(rate > 0, n).otherwise(0.0)
         row = members.agg(
-            *(F.sum(rate * n * x) for x in p), *(F.sum(free * p[i] * p[j]) for i, j in pairs), F.sum(rate * rate) / 2
+            *(F.sum(rate * n * x) for x in p), *(F.sum(free * p[i] * p[j]) for i, j in pairs), F.sum(n * rate * rate) / 2
         ).first()
         gram = np.zeros((k, k))
         for (i, j), value in zip(pairs, row[k:-1]):
@@ -161,7 +164,7 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, toleranc
         return ()
     goal, steps = total * np.array(targets), np.zeros(k)
     got, gram, half = look(steps)
-    trace = 1e-10 * np.trace(gram)  # weight of the distance to one, against the squares
+    trace = pull * np.trace(gram)
     value = half + goal @ steps + trace / 2 * steps @ steps
     while True:
         off = got - goal - trace * steps
@@ -180,12 +183,14 @@ def fit_rates(members: DataFrame, targets: tuple[float, ...] = TARGETS, toleranc
         steps, value = to, new
 
 
-def fit_mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS) -> tuple[MixModel, DataFrame | None]:
+def fit_mix(
+    docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, pull: float = 1e-10
+) -> tuple[MixModel, DataFrame | None]:
     model = fit_classifier(docs, labels)
     if model.weights is None:
         return model, None
     members = cut_lineage(posteriors(docs, model))
-    return MixModel(model.weights, fit_rates(members, targets)), members
+    return MixModel(model.weights, fit_rates(members, targets, pull=pull)), members
 
 
 def soft_rates(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS) -> DataFrame:
@@ -196,10 +201,12 @@ def soft_rates(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] =
     return members.withColumn("rate", rate_column(model.sum_of_steps))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, seed: int = 3) -> DataFrame:
+def mix(
+    docs: DataFrame, labels: DataFrame, targets: tuple[float, ...] = TARGETS, seed: int = 3, pull: float = 1e-10
+) -> DataFrame:
     """The documents, each as often as its rate says: its whole part, and once more with the
     chance of the rest, drawn by the hash of the text."""
-    model, members = fit_mix(docs, labels, targets)
+    model, members = fit_mix(docs, labels, targets, pull)
     if members is None:
         return docs
     at = docs.columns.index("text")

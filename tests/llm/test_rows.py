@@ -379,3 +379,10 @@ def test_forest_scores_are_mean_path_lengths():
                 at = a[at] if row[f[at]] <= s[at] else b[at]
             paths.append(p[at])
         assert abs(score - 2 ** (-np.mean(paths) / forest.norm)) < 1e-12
+
+
+def test_pull_keeps_rates_moderate_where_targets_cannot_be_met(spark):
+    rows = [(f"{i}", 100, 0.97, 0.01, 0.02) for i in range(50)] + [("x", 100, 0.5, 0.5, 0.0), ("y", 0, 0.3, 0.3, 0.4)]
+    members = spark.createDataFrame(rows, "doc_id string, n_tokens long, p_good double, p_low double, p_toxic double")
+    rates = members.withColumn("rate", mixing.rate_column(mixing.fit_rates(members, pull=0.05))).toPandas().rate
+    assert rates.between(0.5, 3).all() and rates.iloc[-1] == 1 and rates.iloc[-2] > rates.iloc[0]
