@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from aprisco.llm import decontaminate, mixing, neardup, quality, queries, sharding
 from aprisco.sources.shared import cut_lineage
 
+PULL = 0.05  # of the rates towards one, against the target weights
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -34,9 +35,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the rates say that meet the domains' target weights."""
+    """Documents as often as the rates say that move the domains towards their target weights.
+
+    The stages before have taken out most of the low domain, so its target could be met only by a
+    few documents many times over; the pull keeps rates near one.
+    """
     queries.ship(spark)
-    return mixing.mix(docs, queries.table(spark, sf_dir, "labels"))
+    return mixing.mix(docs, queries.table(spark, sf_dir, "labels"), pull=PULL)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
