@@ -1,18 +1,24 @@
 """Personal data with DataFrame functions and boosted trees on the JVM; no Python on the rows.
 
 Base spans follow fixed rules per kind. Beside them, high-recall generators propose spans that
-may overlap anything: numbers with separators, addresses with a spelled-out at sign. Gradient-
-boosted trees score every candidate by its format and context, with the rules' own tests (check
-digit, part ranges, the plus sign) left out; they learn from candidates that the rules confirm
-against those they do not. For each kind the score above which a further candidate is redacted is
-calibrated on held-out candidates: the lowest that keeps ``precision`` among those above it. A
-kind that never gets there adds nothing.
+may overlap anything: numbers with separators, addresses with a spelled-out at sign, long runs
+that hold letters and digits. Gradient-boosted trees score every candidate by its format and context.
+
+The trees learn from cases whose truth is known by construction, each distinct one once: spans
+that the rules confirm, the same rewritten as people write them (no plus sign, other separators,
+[at] and [dot]), values assigned to a name like token or password; against them what the rules
+refute (check digit, part ranges, numbers inside words) and what the confirmed ones become when
+rewritten into something else: a plain number, a date, a decimal, a name without a domain, words
+joined by dashes. Half of the cases by hash, at most about ``fit_rows``, fit the trees. On those
+that are left the score above which a candidate is redacted is calibrated per kind: the lowest
+that keeps ``precision`` among at least ``least`` true cases. A kind that never gets there adds
+nothing. Added spans are of the base kinds or of the kind secret.
 
 Patterns are possessive and begin where a run of their characters begins, so they take time in
 proportion to the text, whatever its length.
 
 Defined results: a null text is an empty one, without spans. Places are code points. Rows that
-repeat get equal results; rows with one id and different texts are kept apart. Without candidates
+repeat get equal results; rows with one id and different texts are kept apart. Without cases
 of both sorts there is no model and nothing is added. Other columns play no part.
 """
 
@@ -35,11 +41,15 @@ PATTERNS = {
 GENERATORS = {
     "spelled": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++(?:\x20?[(\[]at[)\]]\x20?|@)[A-Za-z0-9-]++(?:(?:\.|\x20?[(\[]dot[)\]]\x20?)[A-Za-z0-9-]++)*+",
     "number": r"\+?[0-9][\x20().0-9-]{5,}[0-9]",
+    "opaque": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}",
 }
+SPANS = (*KINDS, "secret")
+ASSIGNED = r"(?i)(token|key|secret|passw(or)?d|pwd|credentials?)[\"']?\s*[=:]\s*[\"']?$"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 CONTEXT = 16  # characters to either side that the context features see
 FEATURES = (
     "n_chars", "n_digits", "n_groups", "longest_group", "n_spaces", "n_dots", "n_dashes", "n_brackets",
+    "n_letters", "n_upper", "n_switches", "check_digit", "parts_fit", "spelled", "assigned",
     "at_sign", "before_letter", "after_letter", "before_space", "after_space", "before_word", "before_quote",
 )
 
@@ -109,8 +119,8 @@ def with_features(candidates: DataFrame) -> DataFrame:
     flag = lambda c: c.cast("double")
     return candidates.select(
         "*",
-        F.when(F.col("kind") == "spelled", "email")
-        .when(match.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ip").when(n >= 14, "card").otherwise("phone").alias("as"),
+        F.when(F.col("kind") == "spelled", "email").when(F.col("kind") == "opaque", "secret").when(n >= 14, "card")
+        .when(match.rlike(r"^[0-9]+(\.[0-9]+){3}$"), "ip").otherwise("phone").alias("as"),
         F.length(match).cast("double").alias("n_chars"),
         n.cast("double").alias("n_digits"),
         F.size(groups).cast("double").alias("n_groups"),
@@ -119,6 +129,13 @@ def with_features(candidates: DataFrame) -> DataFrame:
         count(r"\.").cast("double").alias("n_dots"),
         count("-").cast("double").alias("n_dashes"),
         count("[()]").cast("double").alias("n_brackets"),
+        count("[A-Za-z]").cast("double").alias("n_letters"),
+        count("[A-Z]").cast("double").alias("n_upper"),
+        F.size(F.regexp_extract_all(match, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"), F.lit(0))).cast("double").alias("n_switches"),
+        flag(F.when(n.between(14, 19), luhn(digits(match))).otherwise(F.lit(False))).alias("check_digit"),
+        flag(match.rlike(rf"^(?:{PART}\.){{3}}{PART}$")).alias("parts_fit"),
+        flag(match.rlike(r"(?:\.|[(\[]dot[)\]]\x20?)[A-Za-z0-9-]+$")).alias("spelled"),
+        flag(F.col("before").rlike(ASSIGNED)).alias("assigned"),
         flag(match.contains("@")).alias("at_sign"),
         flag(F.col("before").rlike("[A-Za-z0-9]$")).alias("before_letter"),
         flag(F.col("after").rlike("^[A-Za-z0-9]")).alias("after_letter"),
@@ -142,43 +159,92 @@ def touched(candidates: DataFrame, base: DataFrame) -> DataFrame:
     return marked.withColumn("label", near.cast("double")).drop("base", "reach", "ahead")
 
 
+def rewritten(kind: Column, match: Column, before: Column, after: Column) -> Column:
+    """What a confirmed span becomes when written otherwise: (kind, match, label), 1 where it stays
+    personal data."""
+    d, one = digits(match), lambda k, m, label: F.struct(F.lit(k).alias("kind"), m.alias("match"), F.lit(label).alias("label"))
+    name, host = F.split(match, "@")[0], F.split(match, "@")[1]
+    grouped = lambda x, by: F.concat_ws(by, F.regexp_extract_all(x, F.lit("[0-9]{1,4}"), F.lit(0)))
+    tail = lambda i, n: F.substring(d, i, n)
+    wrong = F.concat(F.left(d, F.length(d) - 1), ((F.right(d, F.lit(1)).cast("int") + 1) % 10).cast("string"))
+    slug = lambda by: F.regexp_replace(F.concat(before, F.lit(" "), after, F.lit("1")), "[^A-Za-z0-9]+", by)
+    return (
+        F.when(kind == "email", F.array(
+            one("spelled", F.concat(name, F.lit(" [at] "), host), 1),
+            one("spelled", F.concat(name, F.lit("(at)"), F.regexp_replace(host, r"\.", " (dot) ")), 1),
+            one("spelled", F.concat(name, F.lit("@"), F.split(host, r"\.")[0]), 0),
+            one("spelled", F.concat(name, F.lit(" (at) "), F.split(host, r"\.")[0]), 0),
+        ))
+        .when(kind == "phone", F.array(
+            one("number", F.regexp_replace(match, r"^\+", ""), 1),
+            one("number", F.concat_ws("-", tail(-10, 3), tail(-7, 3), tail(-4, 4)), 1),
+            one("number", F.concat(F.lit("("), tail(-10, 3), F.lit(") "), tail(-7, 3), F.lit("-"), tail(-4, 4)), 1),
+            one("number", F.concat_ws(".", tail(-10, 3), tail(-7, 3), tail(-4, 4)), 1),
+            one("number", d, 0),
+            one("number", F.concat(F.lit("20"), tail(-2, 2), F.lit("-0"), tail(-4, 1), F.lit("-1"), tail(-3, 1)), 0),
+            one("number", F.concat(tail(-10, 7), F.lit("."), tail(-3, 2)), 0),
+        ))
+        .when(kind == "card", F.array(
+            one("number", grouped(d, "."), 1), one("number", grouped(d, " - "), 1),
+            one("number", grouped(wrong, "."), 0), one("number", grouped(wrong, " - "), 0), one("number", wrong, 0),
+        ))
+        .when(kind == "ip", F.array(one("number", match, 1), one("number", F.concat(F.lit("7"), match, F.lit("00")), 0)))
+        .when(kind == "secret", F.array(one("opaque", slug("-"), 0), one("opaque", slug("/"), 0), one("opaque", slug("_"), 0)))
+    )
+
+
+def known_cases(found: DataFrame) -> DataFrame:
+    """Distinct cases of known truth with their features, ``label`` and ``side``, a number that a
+    case shares with what it was rewritten from."""
+    real = F.col("kind").isin(*KINDS) & confirmed(F.col("kind"), F.col("match"))
+    secret = (F.col("kind") == "opaque") & F.col("before").rlike(ASSIGNED) & F.col("match").rlike("[A-Za-z]")
+    inside = F.col("before").rlike("[A-Za-z0-9]$") | F.col("after").rlike("^[A-Za-z0-9]")
+    refuted = (F.col("kind") == "number") & (
+        inside | ~confirmed(F.col("as"), F.col("match")) & F.col("as").isin("ip", "card")
+    ) | (F.col("kind") == "opaque") & ~F.col("match").rlike("[A-Za-z]")
+    sort = F.when(real, F.col("kind")).when(secret, "secret").when(refuted, "refuted")
+    each = with_features(found).select("kind", sort.alias("sort"), "match", "before", "after").where("sort is not null")
+    each = each.groupBy("kind", "sort", "match").agg(F.min(F.struct("before", "after")).alias("around"))
+    each = cut_lineage(each.select("kind", "sort", "match", "around.*", F.xxhash64("match").alias("side")))
+    new = rewritten(F.col("sort"), F.col("match"), F.col("before"), F.col("after"))
+    made = each.where("sort <> 'refuted'").select(F.explode(new).alias("c"), "before", "after", "side")
+    alike = F.when(F.col("kind") == "email", "spelled").when(F.col("kind").isin(*KINDS), "number").otherwise(F.col("kind"))
+    as_is = each.select(alike.alias("kind"), "match", "before", "after", "side", (F.col("sort") != "refuted").cast("int").alias("label"))
+    return with_features(as_is.unionByName(made.select("c.*", "before", "after", "side"))).select(
+        "as", F.col("label").cast("double").alias("label"), "side", *FEATURES
+    )
+
+
 def further_spans(
-    scored_from: DataFrame, fit_rows: int = 20_000, precision: float = 0.99, least: int = 20, rounds: int = 12
+    candidates: DataFrame, known: DataFrame, fit_rows: int = 20_000, precision: float = 0.99, least: int = 10, rounds: int = 20
 ) -> DataFrame | None:
-    """The candidates off the base spans that the calibrated thresholds select. The trees see at
-    most about ``fit_rows`` candidates, drawn by hash; the thresholds are set on the rest."""
-    sorts = {r["label"]: r["count"] for r in scored_from.groupBy("label").count().collect()}
-    if len(sorts) < 2:
-        return None
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(scored_from)
-    share = min(0.5, fit_rows / sum(sorts.values()))
-    fit = F.pmod(F.xxhash64("uid", "doc_id", "start"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
-    sample = cut_lineage(scored_from.where(fit).select("label", *FEATURES).coalesce(1))
+    """The candidates that the calibrated thresholds select. The trees see at most about
+    ``fit_rows`` known cases, drawn by hash; the thresholds are set on the rest."""
+    n = known.count()
+    share = min(0.5, fit_rows / max(n, 1))
+    fit = F.pmod(F.col("side"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+    sample = cut_lineage(known.where(fit).select("label", *FEATURES).coalesce(1))
     if sample.select("label").distinct().count() < 2:
         return None
-    trees = GBTClassifier(maxIter=rounds, maxDepth=3, stepSize=0.3, maxBins=32, seed=5)
-    model = trees.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample))
-    scored = model.transform(rows).withColumn("score", F.floor(vector_to_array("probability")[1] * 1000).cast("int"))
-    scored = cut_lineage(scored.select("uid", "doc_id", "start", "end", "as", "label", "score", fit.alias("fit")))
-    counts = scored.where("not fit").groupBy("as", "score").agg(F.sum("label").alias("hits"), F.count("*").alias("n"))
+    to_vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    trees = GBTClassifier(maxIter=rounds, maxDepth=4, stepSize=0.3, maxBins=32, seed=5)
+    model = trees.fit(to_vector.transform(sample))
+    score = F.floor(vector_to_array("probability")[1] * 1000).cast("int").alias("score")
+    held_out = model.transform(to_vector.transform(known.where(~fit))).select("as", "label", score)
     by_kind: dict[str, list[tuple[int, float, int]]] = {}
-    for r in counts.collect():  # at most 1001 scores per kind
-        by_kind.setdefault(r["as"], []).append((r["score"], r["hits"], r["n"]))
-    chosen = []
-    for kind, seen in by_kind.items():
+    for r in held_out.groupBy("as", "score").agg(F.sum("label").alias("hits"), F.count("*").alias("n")).collect():
+        by_kind.setdefault(r["as"], []).append((r["score"], r["hits"], r["n"]))  # at most 1001 scores per kind
+    chosen = F.lit(False)
+    for kind, seen in sorted(by_kind.items()):
         hits, n, threshold = 0.0, 0, None
-        for score, more, of in sorted(seen, reverse=True):
+        for score_of, more, of in sorted(seen, reverse=True):
             hits, n = hits + more, n + of
             if hits >= least and hits >= precision * n:
-                threshold = score
+                threshold = score_of
         if threshold is not None:
-            chosen.append((F.col("as") == kind) & (F.col("score") >= threshold))
-    if not chosen:
-        return None
-    wanted = chosen[0]
-    for more in chosen[1:]:
-        wanted = wanted | more
-    return scored.where((F.col("label") == 0) & wanted).select("uid", "doc_id", F.col("as").alias("kind"), "start", "end")
+            chosen = chosen | (F.col("as") == kind) & (F.col("score") >= threshold)
+    scored = model.transform(to_vector.transform(candidates)).select("uid", "doc_id", "start", "end", "as", score)
+    return scored.where(chosen).select("uid", "doc_id", F.col("as").alias("kind"), "start", "end")
 
 
 def find_personal_data(docs: DataFrame, **model: float) -> DataFrame:
@@ -189,12 +255,12 @@ def find_personal_data(docs: DataFrame, **model: float) -> DataFrame:
     base = found.where(in_base).where(confirmed(F.col("kind"), F.col("match")))
     base = cut_lineage(base.select("uid", "doc_id", "kind", "start", "end"))
     candidates = with_features(found.where(~in_base)).drop("kind", "match", "before", "after")
-    labelled = cut_lineage(touched(candidates, base.drop("kind")))
-    more = further_spans(labelled, **model)
+    free = touched(candidates, base.drop("kind")).where("label = 0").drop("label")
+    more = further_spans(free, known_cases(found), **model)
     spans = base.withColumn("base", F.lit(True))
     if more is not None:
         spans = spans.unionByName(more.distinct().withColumn("base", F.lit(False)))
-    number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
+    number = F.array_position(F.array(*map(F.lit, SPANS)), F.col("kind")).cast("int")
     one = F.struct("start", number.alias("kind_no"), "end", "kind")
     grouped = spans.groupBy(F.col("uid").alias("u"), F.col("doc_id").alias("d")).agg(
         F.array_sort(F.collect_list(F.when(F.col("base"), one))).alias("base"), F.array_sort(F.collect_list(one)).alias("spans")
