@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aprisco.llm import decontaminate, mixing, pii, quality, sharding, tokens, urls
 from tests.llm.data import EXTRA, LOWER, WORDS, awkward, prose, with_extra
@@ -169,8 +170,8 @@ def hits(docs, bench, n=13):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
-def test_contamination_matches_brute_force(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [256 << 20, 0])
+def test_contamination_matches_brute_force(spark, broadcast_bytes):
     rng = random.Random(9)
     bench = [(i, prose(rng, 30, 90)) for i in range(12)] + [(30, "Short ITEM É"), (31, None), (32, "..."), (None, prose(rng, 20, 90))]
     bench += [(2, bench[2][1]), (40, bench[2][1])]
@@ -178,7 +179,7 @@ def test_contamination_matches_brute_force(spark, broadcast_rows):
     docs += [(3, "short item É"), (4, "short item é"), (5, bench[3][1][: len(bench[3][1]) // 2]), (6, prose(rng, 900) + " " + bench[4][1])]
     docs += [(7, bench[-3][1])]
     df, items = spark.createDataFrame(with_extra(docs), EXTRA), spark.createDataFrame(bench, "item_id long, text string")
-    got = decontaminate.contamination(df, items, broadcast_rows=broadcast_rows)
+    got = decontaminate.contamination(df, items, broadcast_bytes=broadcast_bytes)
     expected = hits(docs, bench)
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in got.collect()} == expected
     clean = decontaminate.drop_contaminated(df, items)
@@ -186,6 +187,16 @@ def test_contamination_matches_brute_force(spark, broadcast_rows):
     assert {r.doc_id for r in clean.collect()} == {i for i, e in expected.items() if not e[3]}
 
 
+@pytest.mark.parametrize("broadcast_bytes", [256 << 20, 0])
+def test_contamination_is_judged_by_words_not_hashes(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(decontaminate, "hashed", lambda *columns: F.xxhash64(*columns) * 0 + 7)
+    text = " ".join(f"q{i}" for i in range(20))
+    df = spark.createDataFrame([(1, f"lead {text} tail"), (2, " ".join(f"z{i}" for i in range(30))), (3, "one two")], SCHEMA)
+    items = spark.createDataFrame([("a", text), ("b", "one two"), ("c", "two one")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.contamination(df, items, broadcast_bytes=broadcast_bytes).collect()}
+    assert got == {1: (20, ["a"]), 2: (0, []), 3: (2, ["b"])}
+
+
 def test_contamination_of_nothing(spark):
     df, none = spark.createDataFrame(awkward(), SCHEMA), spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated or r.n_hit for r in decontaminate.contamination(df, none).collect())
