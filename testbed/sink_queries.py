@@ -42,6 +42,16 @@ def _fact(name: str, granularity: str) -> Callable[[SparkSession, str], DataFram
     return run
 
 
+def _interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of a fact along a curve through farm and animal, with a bloom filter on its id."""
+    model, path = MODELS["fct_tratamiento"], new_path(spark)
+    rows = warehouse(spark, sf_dir)["fct_tratamiento"]
+    write_fact(
+        rows, path, model.partition_date, model.cluster_by, "month", interleave=True, bloom_filters=[rows.columns[0]]
+    )
+    return read_fact(spark, path, model.partition_date, schema=rows.schema)
+
+
 def _dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_table(warehouse(spark, sf_dir)["dim_medicina"], new_path(spark))
 
@@ -277,6 +287,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "fact_by_day": _fact("fct_pesaje", "day"),
         "fact_by_month": _fact("fct_tratamiento", "month"),
+        "fact_interleaved": _interleaved,
         "stored_dimension": _dimension,
         "stored_history": _history,
         "stored_failures": _failures,
@@ -304,6 +315,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "fact_by_day": with_relations("SELECT * FROM fct_pesaje", relations),
         "fact_by_month": with_relations("SELECT * FROM fct_tratamiento", relations),
+        "fact_interleaved": with_relations("SELECT * FROM fct_tratamiento", relations),
         "stored_dimension": with_relations("SELECT * FROM dim_medicina", relations),
         "stored_history": with_relations("SELECT * FROM snapshot_animal", relations),
         "stored_failures": (
