@@ -142,17 +142,25 @@ def calibrated(scored: DataFrame) -> float:
     return threshold
 
 
+def distinct_urls(judged: DataFrame) -> DataFrame:
+    """Each URL once, with what a rule says and whether it is held out, stored in many files.
+
+    A URL makes many grams, so its table is small but its work is not. Dealt by the URL alone the
+    rows would stay where the grouping left them, which may be a single task.
+    """
+    held = F.pmod(F.xxhash64("url"), F.lit(10)) == 0
+    distinct = judged.where("url is not null").groupBy("url").agg((F.first("says") == "allow").alias("accepted"))
+    parts = int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(distinct.withColumn("held", held).repartition(parts, F.xxhash64("url")))
+
+
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES) -> DataFrame:
     """page_id, host, path, rule, score and verdict of every page."""
     url = F.col("url")
     own = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     own = own.withColumn("rule", rule).withColumn("says", verdict)
-    held = F.pmod(F.xxhash64("url"), F.lit(10)) == 0
-    distinct = own.where("url is not null").groupBy("url").agg((F.first("says") == "allow").alias("accepted"))
-    # A URL makes many grams, so its table is small but its work is not: it is kept in many files
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = cut_lineage(distinct.withColumn("held", held).repartition(parts, "url"))
+    distinct = distinct_urls(own)
     scores = cut_lineage(distinct.join(score_urls(distinct), "url", "left"))
     sorts = distinct.where("not held").agg(F.max("accepted").alias("a"), F.min("accepted").alias("r")).first()
     both = sorts["a"] is True and sorts["r"] is False

@@ -433,3 +433,11 @@ def test_pull_keeps_rates_moderate_where_targets_cannot_be_met(spark):
     members = spark.createDataFrame(rows, "doc_id string, n_tokens long, p_good double, p_low double, p_toxic double")
     rates = members.withColumn("rate", mixing.rate_column(mixing.fit_rates(members, pull=0.05))).toPandas().rate
     assert rates.between(0.5, 3).all() and rates.iloc[-1] == 1 and rates.iloc[-2] > rates.iloc[0]
+
+
+def test_distinct_urls_lie_in_many_files(spark):
+    judged = spark.range(3000).selectExpr(
+        "concat('http://example.org/', id % 1000) AS url", "if(id % 2 = 0, 'allow', 'block') AS says")
+    stored = urls.distinct_urls(judged.unionByName(spark.createDataFrame([(None, None)], judged.schema)))
+    assert stored.count() == 1000
+    assert len(stored.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
