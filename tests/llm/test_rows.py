@@ -438,6 +438,6 @@ def test_pull_keeps_rates_moderate_where_targets_cannot_be_met(spark):
 def test_distinct_urls_lie_in_many_files(spark):
     judged = spark.range(3000).selectExpr(
         "concat('http://example.org/', id % 1000) AS url", "if(id % 2 = 0, 'allow', 'block') AS says")
-    stored = urls.distinct_urls(judged.unionByName(spark.createDataFrame([(None, None)], judged.schema)))
+    stored = urls.distinct_urls(judged.unionByName(spark.createDataFrame([(None, None)], "url string, says string")))
     assert stored.count() == 1000
     assert len(stored.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
