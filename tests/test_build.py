@@ -354,3 +354,12 @@ def test_a_row_check_that_a_write_counted_stops_the_build(spark, tmp_path, monke
     with pytest.raises(BuildFailed) as failed:
         build(spark, raw_zone(spark, farm_rows()), str(tmp_path), NOW, domains=["hato"])
     assert [(v.check_id, v.failures) for v in failed.value.verdicts if v.status == "fail"] == [(extra.id, 2)]
+
+
+def test_interleaved_facts_are_whole(spark, tmp_path, rows):
+    zone = raw_zone(spark, farm_rows())
+    run = build(spark, zone, str(tmp_path), NOW, domains=["leche"], interleave=True)
+    lazy = Warehouse(spark, zone, NOW)
+    assert rows(run.warehouse["fct_venta_leche"]) == rows(lazy["fct_venta_leche"]) != []
+    with pytest.raises(ValueError):
+        build(spark, zone, str(tmp_path), NOW, interleave=True, changed_only=True)
