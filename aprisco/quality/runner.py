@@ -81,14 +81,18 @@ class CheckFailed(RuntimeError):
 ROW_KINDS = ("not_null", "accepted_values")
 
 
+def _breaks(rule: Check) -> Column:
+    """Whether a row breaks a row-by-row rule."""
+    column = F.col(rule.columns[0])
+    return column.isNull() if rule.kind == "not_null" else ~column.isin(*rule.values)
+
+
 def row_counts(rules: Iterable[Check], table: str) -> dict[str, Column]:
     """For each row-by-row rule of a table, by its id, the count of rows that break it."""
     counts = {}
     for rule in rules:
         if rule.table == table and rule.kind in ROW_KINDS:
-            column = F.col(rule.columns[0])
-            bad = column.isNull() if rule.kind == "not_null" else ~column.isin(*rule.values)
-            counts[rule.id] = F.count_if(bad)
+            counts[rule.id] = F.count_if(_breaks(rule))
     return counts
 
 
@@ -112,22 +116,6 @@ def watch(df: DataFrame, rules: Iterable[Check], table: str) -> tuple[DataFrame,
     return watched, found
 
 
-def _row_rules(df: DataFrame, rules: Sequence[Check]) -> DataFrame:
-    """Offending rows of all row-by-row rules of a table, counted in one scan."""
-    tests = list(row_counts(rules, rules[0].table).items())
-    counts = df.agg(*[count.alias(f"c{i}") for i, (_, count) in enumerate(tests)])
-    return counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(check_id).alias("check_id"), F.col(f"c{i}").alias("failures"))
-                    for i, (check_id, _) in enumerate(tests)
-                ]
-            )
-        )
-    )
-
-
 def _common_type(spark: SparkSession, kinds: Sequence[DataType]) -> DataType:
     """The type in which values of these types are compared."""
     distinct = list(dict.fromkeys(kinds))
@@ -136,13 +124,14 @@ def _common_type(spark: SparkSession, kinds: Sequence[DataType]) -> DataType:
     return spark.range(0).select(F.coalesce(*[F.lit(None).cast(k) for k in distinct])).schema[0].dataType
 
 
-def _key_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) -> DataFrame:
-    """Offending values of all ``unique`` and ``relationships`` rules, from one scan per table.
+def _single_column_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) -> DataFrame:
+    """Offending rows or values of all rules on one column, from one scan per table.
 
-    Every row gives its (rule, value) pairs, which are folded on the map side; one exchange
-    counts the values of all tables, and one join holds them against the keys of all parents,
-    each read once. A reference and the key that it refers to are cast to their common type, as a
-    join does it, and compared as text, which tells the same values of a type apart.
+    Every row gives a (rule, value) pair for each of its keys and references, and one for each
+    row-by-row rule that it breaks. Pairs are folded on the map side, and one exchange counts them.
+    The keys of a parent, read once, go through the same exchange as known values of the rules that
+    refer to it, so nothing is joined. A reference and the key that it refers to are cast to their
+    common type, as a join does it, and compared as text, which tells the same values of a type apart.
     """
     by_table: dict[str, list[tuple[int, Check]]] = defaultdict(list)
     for number, rule in enumerate(rules):
@@ -156,36 +145,26 @@ def _key_rules(rules: Sequence[Check], relation: Callable[[str], DataFrame]) ->
 
     def text(rule: Check) -> Column:
         column = F.col(rule.columns[0])
+        if rule.kind in ROW_KINDS:
+            return F.when(_breaks(rule), F.lit(""))
         return (column.cast(common[rule.parent, rule.field]) if rule.parent else column).cast("string")
 
     scans = []
     for table, own in by_table.items():
-        pairs = [F.struct(F.lit(n).alias("rule"), text(r).alias("value")) for n, r in own]
-        pair = relation(table).select(F.explode(F.array(*pairs)).alias("pair"))
-        scans.append(pair.select("pair.rule", "pair.value").where("value IS NOT NULL"))
-    counts = reduce(DataFrame.union, scans).groupBy("rule", "value").agg(F.count(F.lit(1)).alias("n"))
-
-    if parents:
-        parent = F.lit(None).cast("int")
-        for number, rule in enumerate(rules):
-            if rule.parent:
-                tag = parents.index((rule.parent, rule.field))
-                parent = F.when(F.col("rule") == number, F.lit(tag)).otherwise(parent)
-        known = [
-            relation(table).select(
-                F.lit(tag).alias("parent"), F.col(key).cast(common[table, key]).cast("string").alias("value")
-            )
-            for tag, (table, key) in enumerate(parents)
-        ]
-        known = reduce(DataFrame.union, known).distinct().withColumn("known", F.lit(True))
-        counts = counts.withColumn("parent", parent).join(known, ["parent", "value"], "left")
-        refers = F.col("parent").isNotNull()
-        broken = F.when(refers & F.col("known").isNull(), F.col("n"))
-        broken = broken.when(~refers & (F.col("n") > 1), 1)
-    else:
-        broken = F.when(F.col("n") > 1, 1)
+        values = relation(table).select(*[text(r).alias(str(n)) for n, r in own])
+        scans.append(values.unpivot([], values.columns, "rule", "value").withColumn("known", F.lit(False)))
+    for table, key in parents:
+        value = F.col(key).cast(common[table, key]).cast("string")
+        referring = [n for n, r in enumerate(rules) if (r.parent, r.field) == (table, key)]
+        values = relation(table).select(*[value.alias(str(n)) for n in referring])
+        scans.append(values.unpivot([], values.columns, "rule", "value").withColumn("known", F.lit(True)))
+    counts = reduce(DataFrame.union, scans).where("value IS NOT NULL").groupBy("rule", "value").agg(
+        F.count_if(~F.col("known")).alias("n"), F.max("known").alias("known")
+    )
+    is_key = F.col("rule").isin([str(n) for n, r in enumerate(rules) if r.kind == "unique"])
+    broken = F.when(is_key, F.when(F.col("n") > 1, 1)).when(~F.col("known"), F.col("n"))
     found = counts.groupBy("rule").agg(F.coalesce(F.sum(broken), F.lit(0)).alias("broken"))
-    names = [F.struct(F.lit(n).alias("rule"), F.lit(r.id).alias("check_id")) for n, r in enumerate(rules)]
+    names = [F.struct(F.lit(str(n)).alias("rule"), F.lit(r.id).alias("check_id")) for n, r in enumerate(rules)]
     listed = found.sparkSession.range(1).select(F.inline(F.array(*names)))
     # A rule without any value has no row of its own
     return listed.join(found, "rule", "left").select(
@@ -198,25 +177,22 @@ def count_failures(
 ) -> DataFrame:
     """One row per check: its id and how many rows or values break it, as one plan.
 
-    ``not_null`` and ``accepted_values`` of a table share a scan, and so do ``unique`` and
-    ``relationships``; other checks have their own.
+    ``not_null``, ``accepted_values``, ``relationships`` and ``unique`` on one column share a scan
+    per table; other checks have their own.
     """
     rules = list(rules)
-    by_row, by_key, parts = defaultdict(list), [], []
+    single, parts = [], []
     for rule in rules:
-        if rule.kind in ("not_null", "accepted_values"):
-            by_row[rule.table].append(rule)
-        elif rule.kind in ("unique", "relationships") and len(rule.columns) == 1:
-            by_key.append(rule)
+        if rule.kind in ROW_KINDS or (rule.kind in ("unique", "relationships") and len(rule.columns) == 1):
+            single.append(rule)
         else:
             parts.append(
                 rule.failing(relation)
                 .agg(F.count(F.lit(1)).alias("failures"))
                 .select(F.lit(rule.id).alias("check_id"), "failures")
             )
-    if by_key:
-        parts.append(_key_rules(by_key, relation))
-    parts += [_row_rules(relation(table), own) for table, own in by_row.items()]
+    if single:
+        parts.append(_single_column_rules(single, relation))
     return reduce(DataFrame.union, parts)
 
 

@@ -174,6 +174,23 @@ def test_key_checks_read_each_table_once(spark, tmp_path, rows):
     assert plan.count("FileScan") == 2 + 2  # a scan per table for its own rules, one per parent key
 
 
+def test_rules_of_a_table_share_a_scan_and_an_exchange(spark, tmp_path, rows):
+    tables = {}
+    for name, data in {"child": [(1, 1), (1, 2), (2, 9), (3, None), (None, 9)], "parent": [(1, 1), (2, 2), (2, 3)]}.items():
+        spark.createDataFrame(data, "id int, ref int").write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    rules = [
+        Check("unique", "child", ("id",)), Check("not_null", "child", ("id",)), Check("not_null", "child", ("ref",)),
+        Check("accepted_values", "child", ("ref",), values=(1, 2)), Check("accepted_values", "parent", ("id",), values=(1, 2)),
+        Check("relationships", "child", ("ref",), parent="parent", field="id"),
+        Check("relationships", "parent", ("ref",), parent="parent", field="id"),
+    ]
+    found = count_failures(rules, tables.__getitem__)
+    assert rows(found) == sorted(zip([r.id for r in rules], (1, 1, 1, 2, 0, 2, 1)), key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 + 1 and plan.count("hashpartitioning(rule") == 2  # values, then rules
+
+
 def test_references_are_compared_in_their_common_type(spark):
     tables = {
         "child": spark.createDataFrame([(Decimal(1),), (Decimal("2.5"),), (None,)], "k decimal(38,9)"),
