@@ -65,6 +65,15 @@ def test_byte_repeats_match_brute_force(spark, monkeypatch, group):
     assert found == byte_repeats(rows)
 
 
+@pytest.mark.parametrize("size, removed", [(399, 0), (400, 400)])
+def test_passages_go_by_bytes_from_both_copies(spark, size, removed):
+    passage = prose(random.Random(6), 120, 5000)[:size]
+    assert len(WORDS.findall(passage)) > 50
+    df = spark.createDataFrame([(1, f"({passage})"), (2, f"[{passage}]"), (3, "other")], SCHEMA)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffixes.remove_repeats(df).collect()}
+    assert found == {**{i: (size + 2, removed, removed // 400) for i in (1, 2)}, 3: (5, 0, 0)}
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(300))
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], SCHEMA)
