@@ -286,3 +286,22 @@ def test_moments_become_utc_whatever_the_sessions_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == "2025-06-15 15:06:40.123456"
+
+
+@pytest.mark.parametrize("lost", [1, 3000])
+def test_known_references_are_told_without_shuffling_rows(spark, rows, lost):
+    from testbed.sink_queries import _referring
+    from tests.test_joins import _with
+
+    fact = spark.range(20_000).selectExpr("cast(id as int) AS id", "if(id % 10 = 0, NULL, concat('k', id % 4000)) AS ref")
+    keys = spark.range(4000 - lost).selectExpr("concat('k', id) AS ref").union(spark.createDataFrame([("k1",), (None,)], "ref string"))
+
+    def run():
+        found = _referring(fact, "ref", keys)
+        return rows(found), found._jdf.queryExecution().executedPlan().toString()
+
+    # Far too little for the keys
+    found, plan = _with(spark, {"spark.sql.autoBroadcastJoinThreshold": "2000"}, run)
+    assert found == sorted([(i, f"k{i % 4000}") for i in range(20_000) if i % 10 and i % 4000 < 4000 - lost], key=repr)
+    if lost == 1:
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
